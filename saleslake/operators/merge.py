@@ -26,21 +26,26 @@ KEPT, UPDATED, INSERTED = "kept", "updated", "inserted"
 _NEW = "merge_new_"
 
 
-def _one_row_per_key(source: DataFrame, target: DataFrame, keys: Sequence[str], value: str):
+def _one_row_per_key(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], value: str
+) -> DataFrame:
     """The source under private names and in the target's types, its keys proven unique.
 
-    A source grouped by these keys is already partitioned for the check.
+    The check guards the keys as well as the value. As it needs the group's row count, the
+    optimizer cannot move a join's NOT NULL filter on a key below the aggregate, and both
+    joins keep the same aggregate to share.
     """
     types = {f.name: f.dataType for f in target.schema.fields}
     grouped = source.groupBy(*keys).agg(
         F.max(value).alias(value), F.count(F.lit(1)).alias(f"{_NEW}rows")
     )
-    new_value = F.when(F.col(f"{_NEW}rows") == 1, F.col(value).cast(types[value])).otherwise(
-        F.raise_error(F.lit("merge source has more than one row for a key"))
-    )
+    single = F.col(f"{_NEW}rows") == 1
+    failure = F.raise_error(F.lit("merge source has more than one row for a key"))
     return grouped.select(
-        *(F.col(key).cast(types[key]).alias(_NEW + key) for key in keys),
-        new_value.alias(_NEW + value),
+        *(
+            F.when(single, F.col(c).cast(types[c])).otherwise(failure).alias(_NEW + c)
+            for c in (*keys, value)
+        ),
         F.lit(True).alias(f"{_NEW}matched"),
     )
 

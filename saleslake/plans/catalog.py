@@ -69,10 +69,15 @@ def table(spark: SparkSession, name: str, database: str = DATABASE) -> DataFrame
 def append(df: DataFrame, name: str, database: str = DATABASE) -> None:
     """Append to an existing table, conformed to its declared schema (K1, K3).
 
-    A name that is not a table is an error; it is never created on the fly.
+    A name that is not a table is an error; it is never created on the fly. Rows of a
+    partitioned table are gathered by partition value first, or every task would write a
+    file into every partition; AQE spreads a value with much data over several files.
     """
-    target = table(df.sparkSession, name, database)
-    conform(df, target.schema).write.insertInto(f"`{database}`.`{name}`")
+    rows = conform(df, table(df.sparkSession, name, database).schema)
+    split_by = TABLES[name].partition_by if name in TABLES else ()
+    if split_by:
+        rows = rows.hint("rebalance", *split_by)
+    rows.write.insertInto(f"`{database}`.`{name}`")
 
 
 @contextmanager

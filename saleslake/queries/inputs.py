@@ -9,7 +9,7 @@ last pair gets a text that fails the id rule instead of another customer's id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,49 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal the rows to all cores if the scan has fewer partitions than there are cores.
+
+    A Parquet file with one row group is read by one task, and without a shuffle all the
+    work up to the first aggregate would stay in it. A large table is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _lookup(df: DataFrame, key: str, value: str) -> Column:
+    """A map of a fixed-size table as a scalar subquery.
+
+    Used for nations and regions, of which there are 25 and 5 at any scale. Joining them
+    would make the planner's size estimate of the customers a product of both tables and
+    cost the customers their broadcast where they are small enough for one.
+    """
+    entries = F.collect_list(F.struct(key, value))
+    return df.agg(F.map_from_entries(entries).alias("entries")).scalar()
+
+
+def _with_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their nation's and region's name."""
+    nation = read(spark, sf_dir, "nation")
+    return (
+        read(spark, sf_dir, "customer")
+        .withColumns(
+            {
+                "n_name": _lookup(nation, "n_nationkey", "n_name")[F.col("c_nationkey")],
+                "n_regionkey": _lookup(nation, "n_nationkey", "n_regionkey")[
+                    F.col("c_nationkey")
+                ],
+            }
+        )
+        .withColumn(
+            "r_name",
+            _lookup(read(spark, sf_dir, "region"), "r_regionkey", "r_name")[
+                F.col("n_regionkey")
+            ],
+        )
+    )
+
+
 def _letters(number: str) -> str:
     return f"concat(char(65 + ({number}) div 26), char(65 + ({number}) % 26))"
 
@@ -41,7 +84,7 @@ def product_code(key: str) -> str:
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order: one sales order row each."""
-    return read(spark, sf_dir, "lineitem").join(
+    return _spread(read(spark, sf_dir, "lineitem")).join(
         read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "inner"
     )
 
@@ -74,15 +117,9 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        read(spark, sf_dir, "customer")
-        .join(
-            read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "inner"
-        )
-        .selectExpr(
-            "c_custkey AS customer_id", "c_name AS customer_name", "n_name AS country",
-            "c_mktsegment AS segment",
-        )
+    return _with_geography(spark, sf_dir).selectExpr(
+        "c_custkey AS customer_id", "c_name AS customer_name", "n_name AS country",
+        "c_mktsegment AS segment",
     )
 
 
@@ -117,36 +154,27 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     four = "lpad(cast(c_custkey % 10000 AS string), 4, '0')"
     five = "lpad(cast(c_custkey % 100000 AS string), 5, '0')"
-    return (
-        read(spark, sf_dir, "customer")
-        .join(
-            read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "inner"
-        )
-        .join(
-            read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "inner"
-        )
-        .selectExpr(
-            "CASE WHEN c_custkey % 19 = 0 THEN concat('BAD-', c_custkey)"
-            f" WHEN c_custkey % 29 <> 0 THEN {customer_code('c_custkey')} END AS customer_id",
-            "concat(translate(c_name, '0123456789', 'ABCDEFGHIJ'),"
-            " CASE WHEN c_custkey % 4 = 0 THEN '-José 3' ELSE '' END) AS customer_name",
-            "CASE c_custkey % 5 WHEN 0 THEN concat('user', c_custkey, '@mail')"
-            " WHEN 1 THEN concat('user.', c_custkey, '@mail.example.com')"
-            " WHEN 2 THEN NULL WHEN 3 THEN '#ERROR!'"
-            " ELSE concat('u_', c_custkey, '+x@example.org') END AS email",
-            "CASE c_custkey % 8 WHEN 0 THEN '421.580.0902x9815' WHEN 1 THEN '#ERROR!'"
-            f" WHEN 2 THEN concat('(123) 456-', {four}) WHEN 3 THEN concat('+1 123-456-', {four})"
-            f" WHEN 4 THEN concat('123.456.', {four}) WHEN 5 THEN '12345' WHEN 6 THEN NULL"
-            f" ELSE concat('+1(123)456-', {four}) END AS phone",
-            "concat('No ', c_custkey, ' Main Street') AS address",
-            "c_mktsegment AS segment",
-            "n_name AS country",
-            "concat('City ', c_custkey % 100) AS city",
-            "concat('State ', c_custkey % 50) AS state",
-            f"CASE c_custkey % 6 WHEN 0 THEN '1234' WHEN 1 THEN concat({five}, '-6789')"
-            f" WHEN 2 THEN '12345.0' WHEN 3 THEN NULL ELSE {five} END AS postal_code",
-            "r_name AS region",
-        )
+    return _with_geography(spark, sf_dir).selectExpr(
+        "CASE WHEN c_custkey % 19 = 0 THEN concat('BAD-', c_custkey)"
+        f" WHEN c_custkey % 29 <> 0 THEN {customer_code('c_custkey')} END AS customer_id",
+        "concat(translate(c_name, '0123456789', 'ABCDEFGHIJ'),"
+        " CASE WHEN c_custkey % 4 = 0 THEN '-José 3' ELSE '' END) AS customer_name",
+        "CASE c_custkey % 5 WHEN 0 THEN concat('user', c_custkey, '@mail')"
+        " WHEN 1 THEN concat('user.', c_custkey, '@mail.example.com')"
+        " WHEN 2 THEN NULL WHEN 3 THEN '#ERROR!'"
+        " ELSE concat('u_', c_custkey, '+x@example.org') END AS email",
+        "CASE c_custkey % 8 WHEN 0 THEN '421.580.0902x9815' WHEN 1 THEN '#ERROR!'"
+        f" WHEN 2 THEN concat('(123) 456-', {four}) WHEN 3 THEN concat('+1 123-456-', {four})"
+        f" WHEN 4 THEN concat('123.456.', {four}) WHEN 5 THEN '12345' WHEN 6 THEN NULL"
+        f" ELSE concat('+1(123)456-', {four}) END AS phone",
+        "concat('No ', c_custkey, ' Main Street') AS address",
+        "c_mktsegment AS segment",
+        "n_name AS country",
+        "concat('City ', c_custkey % 100) AS city",
+        "concat('State ', c_custkey % 50) AS state",
+        f"CASE c_custkey % 6 WHEN 0 THEN '1234' WHEN 1 THEN concat({five}, '-6789')"
+        f" WHEN 2 THEN '12345.0' WHEN 3 THEN NULL ELSE {five} END AS postal_code",
+        "r_name AS region",
     )
 
 
