@@ -124,6 +124,8 @@ def merge_into(
     still there and the merge can be run again.
     """
     spark = source.sparkSession
+    if not TABLES[name].partition_by:
+        raise ValueError(f"table '{name}' has no partition column to merge by")
     target = table(spark, name, database)
     split_by = TABLES[name].partition_by[0]
     touched = target if partitions is None else target.filter(any_of(split_by, partitions))
