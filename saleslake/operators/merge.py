@@ -1,14 +1,16 @@
 """Conditional upsert on plain tables.
 
 `MERGE INTO` needs a table format that supports it, which Parquet tables do not, so the
-merge is written as two joins:
+merge is written in two parts:
 
 * target LEFT JOIN batch keeps every target row and replaces its value when the batch
   has a different one. A small batch is broadcast without moving the target; otherwise
   AQE may split the target side of a hot key, which it cannot do for a full outer join.
-* batch LEFT ANTI JOIN distinct target keys gives the rows to insert.
+* batch keys UNION target keys, grouped, gives the rows to insert: those of groups without
+  a target key. Copies of a target key are combined before the shuffle.
 
-Both read one `batch` sub-plan, so its shuffle is planned once and reused.
+Both read one `batch` sub-plan, so its shuffle is planned once and reused. The target is
+read twice, the second time for its keys only, and is meant to be a stored table.
 """
 
 from __future__ import annotations
@@ -50,6 +52,31 @@ def _one_row_per_key(
     )
 
 
+def _missing(
+    batch: DataFrame, target: DataFrame, keys: Sequence[str], value: str, null_safe: bool
+) -> DataFrame:
+    """Batch rows whose key the target lacks.
+
+    Grouping takes NULLs as equal; under `=` a target key with a NULL equals nothing, so
+    such keys stay out.
+    """
+    present = target.select(*keys) if null_safe else target.select(*keys).dropna("any")
+    taken = f"{_NEW}taken"
+    mine = [_NEW + c for c in (*keys, value)]
+    theirs = present.select(
+        *(F.col(key).alias(_NEW + key) for key in keys),
+        F.lit(None).cast(target.schema[value].dataType).alias(_NEW + value),
+        F.lit(True).alias(taken),
+    )
+    return (
+        batch.select(*mine, F.lit(False).alias(taken))
+        .unionByName(theirs)
+        .groupBy(*mine[:-1])
+        .agg(F.max(mine[-1]).alias(mine[-1]), F.max(taken).alias(taken))
+        .filter(~F.col(taken))
+    )
+
+
 def tag_merge(
     target: DataFrame,
     source: DataFrame,
@@ -89,7 +116,7 @@ def tag_merge(
         ),
         F.when(changed, F.lit(UPDATED)).otherwise(F.lit(KEPT)).alias(ACTION),
     )
-    inserted = batch.join(target.select(*keys).distinct(), match, "left_anti").select(
+    inserted = _missing(batch, target, keys, value, null_safe).select(
         *(
             filled.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
             for f in target.schema.fields
