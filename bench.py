@@ -36,7 +36,7 @@ HEADLINE = (
     "json_scan",
     "xlsx_scan",
     "report_pack",
-    "pipeline_end_to_end",
+    "full_run",
 )
 
 

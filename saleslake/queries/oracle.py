@@ -364,5 +364,5 @@ UNION ALL SELECT 'profit_by_customer', NULL, NULL, customer_name,
 UNION ALL SELECT 'profit_by_customer_year', year, NULL, customer_name,
   CAST(SUM(total_profit) AS DECIMAL(30,2)) FROM clean_summary GROUP BY customer_name, year""",
         ),
-        "pipeline_end_to_end": final_summary,
+        "full_run": final_summary,
     }

@@ -314,7 +314,7 @@ def _run_on_files(spark: SparkSession, sf_dir: str, database: str) -> None:
     run_pipeline(spark, files, database, as_of=AS_OF)
 
 
-def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored summary after a run over files in all three formats."""
     database = _database(spark, "pipeline")
     _run_on_files(spark, sf_dir, database)
@@ -381,5 +381,5 @@ def queries() -> dict[str, Query]:
         "xlsx_scan": xlsx_scan,
         "ingest_products": ingest_products,
         "report_pack": report_pack,
-        "pipeline_end_to_end": pipeline_end_to_end,
+        "full_run": full_run,
     }

@@ -39,7 +39,7 @@ PYTHON = {"xlsx_scan"}
 @pytest.mark.parametrize("name", [
     name for name in driver.queries()
     if name not in {"merge_table", "append_batches", "catalog_tables", "report_pack",
-                    "pipeline_end_to_end"}
+                    "full_run"}
 ])
 def test_only_workbooks_need_python(spark, name):
     plan = driver.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
