@@ -11,10 +11,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+_schemas: dict[str, StructType] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan a table, with the footers read for its schema only the first time."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _spread(df: DataFrame, *columns: str) -> DataFrame:
@@ -29,36 +37,25 @@ def _spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
 
 
-def _lookup(df: DataFrame, key: str, value: str) -> Column:
-    """A map of a fixed-size table as a scalar subquery.
+def _lookup(df: DataFrame, key: str, *values: str) -> Column:
+    """A map from key to a struct of values, as a scalar subquery on a fixed-size table.
 
     Used for nations and regions, of which there are 25 and 5 at any scale. Joining them
     would make the planner's size estimate of the customers a product of both tables and
     cost the customers their broadcast where they are small enough for one.
     """
-    entries = F.collect_list(F.struct(key, value))
+    entries = F.collect_list(F.struct(key, F.struct(*values)))
     return df.agg(F.map_from_entries(entries).alias("entries")).scalar()
 
 
 def _with_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with their nation's and region's name."""
-    nation = read(spark, sf_dir, "nation")
-    return (
-        read(spark, sf_dir, "customer")
-        .withColumns(
-            {
-                "n_name": _lookup(nation, "n_nationkey", "n_name")[F.col("c_nationkey")],
-                "n_regionkey": _lookup(nation, "n_nationkey", "n_regionkey")[
-                    F.col("c_nationkey")
-                ],
-            }
-        )
-        .withColumn(
-            "r_name",
-            _lookup(read(spark, sf_dir, "region"), "r_regionkey", "r_name")[
-                F.col("n_regionkey")
-            ],
-        )
+    nations = read(spark, sf_dir, "nation").join(
+        read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "inner"
+    )
+    nation = _lookup(nations, "n_nationkey", "n_name", "r_name")[F.col("c_nationkey")]
+    return read(spark, sf_dir, "customer").select("*", nation.alias("nation")).select(
+        "*", "nation.n_name", "nation.r_name"
     )
 
 

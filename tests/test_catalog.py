@@ -206,3 +206,15 @@ def test_shared_folder_is_required_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.shared_folder(Session())
+
+
+def test_hot_year_is_split_over_files(spark, database, tmp_path, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="50KB")
+    rows = spark.range(60_000, numPartitions=6).selectExpr(
+        "if(id % 3 = 0, 2016, cast(2000 + id % 10 AS int)) AS year", "'c' AS product_category",
+        "'s' AS product_sub_category", "sha2(cast(id AS string), 256) AS customer_name",
+        "cast(id AS decimal(20,2)) AS total_profit",
+    )
+    catalog.append(rows, "sales_summary", database)
+    assert catalog.table(spark, "sales_summary", database).count() == 60_000
+    assert len(_files(tmp_path / "db" / "sales_summary" / "year=2016")) > 2
