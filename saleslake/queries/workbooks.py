@@ -16,6 +16,8 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from saleslake.session import ship_package
+
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _RELS = "http://schemas.openxmlformats.org/package/2006/relationships"
 _DOC = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -60,6 +62,7 @@ def _uri(folder: str) -> str:
 
 def write_workbooks(df: DataFrame, folder: str) -> None:
     """Write every Arrow batch of `df` as a workbook in `folder`."""
+    ship_package(df.sparkSession)
     names, uri = df.columns, _uri(folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,8 +6,14 @@ the cluster what to set. All of it is plain Spark configuration.
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 _TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
 _MAX_SHUFFLE_PARTITIONS = 200_000
 
@@ -43,3 +49,18 @@ def build_session(
     for key, value in {**tuning(), **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Only the workbook decoder runs in them. Spark distributes the archive itself, so it
+    need not be installed on the executors or on their path.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    base = Path(tempfile.mkdtemp(prefix="saleslake-package-")) / package.name
+    context.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)

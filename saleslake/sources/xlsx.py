@@ -22,6 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from saleslake.functions.columns import standard_name
 from saleslake.schemas import SourceSpec
+from saleslake.session import ship_package
 
 _ROWS_PER_BATCH = 10_000
 
@@ -134,6 +135,7 @@ def decode_workbooks(books: DataFrame, schema: StructType, header: bool = True)
     differ between workbooks; a column a workbook lacks is NULL. Cells that do not fit
     the declared type become NULL.
     """
+    ship_package(books.sparkSession)
     names = schema.names
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
