@@ -146,7 +146,7 @@ _CTES = {
       regexp_replace(product_name, '{q.NOT_IN_PRODUCT_NAME}', '', 'g') AS product_name)
   FROM raw_products WHERE regexp_matches(product_id, '{q.PRODUCT_ID}')""",
     "clean_sales": """
-  SELECT o.*, c.customer_name, c.country, c.segment, p.category AS product_category,
+  SELECT o.*, c.customer_name, c.country, p.category AS product_category,
     p.subcategory AS product_sub_category
   FROM clean_orders o JOIN clean_customers c ON o.customer_id = c.customer_id
     JOIN clean_products p ON o.product_id = p.product_id""",
@@ -155,9 +155,10 @@ _CTES = {
     customer_name, CAST(SUM(profit) AS DECIMAL(20,2)) AS total_profit
   FROM clean_sales GROUP BY ALL""",
     "by_segment": """
-  SELECT CAST(year(order_date) AS INTEGER) AS year, product_category, product_sub_category,
-    segment AS customer_name, ship_date, profit
-  FROM clean_sales""",
+  SELECT CAST(year(CASE WHEN ship_mode <> '5-LOW' THEN order_date END) AS INTEGER) AS year,
+    category AS product_category, subcategory AS product_sub_category,
+    c_mktsegment AS customer_name, ship_date, profit
+  FROM orders_in JOIN customer ON customer_id = c_custkey JOIN products_in USING (product_id)""",
     "earlier": """
   SELECT year, product_category, product_sub_category, customer_name,
     CAST(SUM(profit) AS DECIMAL(20,2)) AS total_profit
@@ -171,7 +172,7 @@ _CTES = {
 _CLEAN = ("raw_orders", "raw_customers", "raw_products", "valid_orders", "clean_orders",
           "clean_customers", "clean_products", "clean_sales")
 _NATURAL = ("orders_in", "customers_in", "products_in", "joined")
-_BATCHES = (*_CLEAN, "by_segment", "earlier", "later")
+_BATCHES = ("orders_in", "products_in", "by_segment", "earlier", "later")
 
 
 def _sql(ctes: tuple[str, ...], body: str) -> str:

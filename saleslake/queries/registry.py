@@ -164,11 +164,14 @@ def products_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _batch_summaries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A stored earlier and a later summary by segment, whose ship dates overlap.
 
-    Order dates come from cleansed text, so both hold NULL-year groups.
+    Orders of one priority go without an order date, so both hold NULL-year groups.
     """
-    by_segment = customers_clean(spark, sf_dir).withColumn("customer_name", F.col("segment"))
+    dated = F.when(F.col("ship_mode") != "5-LOW", F.col("order_date"))
     sales = enrich(
-        orders_clean(spark, sf_dir), by_segment, products_clean(spark, sf_dir), as_of=AS_OF
+        inputs.orders(spark, sf_dir).withColumn("order_date", dated),
+        inputs.customers(spark, sf_dir).withColumn("customer_name", F.col("segment")),
+        inputs.products(spark, sf_dir),
+        as_of=AS_OF,
     )
     earlier = summarize(sales.filter(F.col("ship_date") < dt.date(1999, 1, 1)))
     stored = new_folder(spark, "earlier-summary")
