@@ -36,9 +36,36 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder(context.applicationId)
 
 
+@lru_cache(maxsize=8)
+def _application_folder(spark: SparkSession, shared: str, application: str) -> str:
+    """A folder of this application's own, removed when its driver ends."""
+    path = f"{shared}/saleslake/{application}-{uuid.uuid4().hex[:8]}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A path nobody else uses, below the shared folder."""
-    return f"{shared_folder(spark)}/saleslake/{purpose}-{uuid.uuid4().hex}"
+    """A path nobody else uses, below the shared folder.
+
+    Its files go when the application ends, as frames that read them may live until then.
+    """
+    application = _application_folder(
+        spark, shared_folder(spark), spark.sparkContext.applicationId
+    )
+    return f"{application}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write `df` once as Parquet in the shared folder and read it from there.
+
+    Spark then knows its size, so later joins broadcast it only where it is small.
+    """
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 from check_oracle import compare, duck
+from saleslake.queries import oracle_sql, queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -19,10 +20,11 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(queries()))
 def test_same_as_sql(spark, connection, name):
     assert compare(spark, connection, name, SF_DIR) == ""
 
@@ -37,7 +39,7 @@ PYTHON = {"xlsx_scan"}
 
 
 @pytest.mark.parametrize("name", [
-    name for name in driver.queries()
+    name for name in queries()
     if name not in {"merge_table", "append_batches", "catalog_tables", "report_pack",
                     "full_run"}
 ])
