@@ -13,7 +13,8 @@ pairs:
    The pairs that hold connect most members of a group.
 2. All prefix tokens are gathered. A token whose texts are already connected yields
    nothing; only pairs across components are made, so no link between components is
-   missed. Tokens that the frequency table marks as common are first reduced to those
+   missed. A pair must share as many prefix tokens as its sizes call for. Tokens that the
+   frequency table marks as common are first reduced to those
    that join several components, by a partial aggregate, before their texts are gathered.
 
 Texts with equal sets form a class and take part once, so copies cost nothing.
@@ -37,6 +38,7 @@ from saleslake.session import ship_package
 ORDERS = 3
 LEADS = 4
 _BUCKETS = 1 << 16
+_PAIRS = 50_000
 _LEVEL = np.uint64(56)
 
 
@@ -217,26 +219,41 @@ def components(links: DataFrame) -> DataFrame:
 def _token_pairs(
     ids: np.ndarray, sizes: np.ndarray, comps: np.ndarray, places: np.ndarray, percent: int
 ) -> Iterator[np.ndarray]:
-    """Pairs of one token's texts in different components; the sizes rise.
+    """(a, b, need) of one token's texts in different components; the sizes rise.
 
-    A pair is made where this token can be the first that both share: by their sizes, and
-    by the tokens that follow it in each.
+    If a pair is similar, any token it shares fits the sizes and the places in both. As the
+    tokens up to the end of the prefix that ends first are all seen here, it must also share
+    `need` prefix tokens: the least overlap less what can follow that prefix.
     """
-    left = sizes - places
+    after = -(-percent * sizes // 100) - 1
     for at in range(len(ids) - 1):
         end = np.searchsorted(sizes, 100 * sizes[at] // percent, side="right")
         near = slice(at + 1, end)
-        need = -(-percent * (sizes[at] + sizes[near]) // (100 + percent))
-        ok = (comps[near] != comps[at]) & (np.minimum(left[at], left[near]) >= need)
+        least = -(-percent * (sizes[at] + sizes[near]) // (100 + percent))
+        most = np.minimum(places[at], places[near]) + np.minimum(
+            sizes[at] - places[at], sizes[near] - places[near]
+        )
+        ok = (comps[near] != comps[at]) & (most >= least)
         other = ids[near][ok]
         if len(other):
-            yield np.stack([np.minimum(other, ids[at]), np.maximum(other, ids[at])], axis=1)
+            yield np.stack(
+                [np.minimum(other, ids[at]), np.maximum(other, ids[at]),
+                 (least - np.maximum(after[at], after[near]))[ok]],
+                axis=1,
+            )
+
+
+def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
+    rows = np.concatenate(found)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)], ["a", "b", "need"]
+    )
 
 
 def _cross_pairs(
     batches: Iterator[pa.RecordBatch], percent: int
 ) -> Iterator[pa.RecordBatch]:
-    """Pairs across components, from rows sorted by token and size.
+    """Pairs across components, one for each shared token, from rows sorted by token and size.
 
     The last token of a batch waits for the next one, as its rows may go on there.
     """
@@ -248,14 +265,19 @@ def _cross_pairs(
         starts = np.flatnonzero(np.diff(tokens, prepend=~tokens[:1]))
         ends = np.append(starts[1:], len(tokens))
         mixed = np.minimum.reduceat(comps, starts) != np.maximum.reduceat(comps, starts)
+        waiting, size = [], 0
         for start, end in zip(starts[mixed], ends[mixed], strict=True):
             part = slice(start, end)
             for found in _token_pairs(
                 ids[part], sizes[part], comps[part], places[part], percent
             ):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"]
-                )
+                waiting.append(found)
+                size += len(found)
+                if size >= _PAIRS:
+                    yield _pair_batch(waiting)
+                    waiting, size = [], 0
+        if waiting:
+            yield _pair_batch(waiting)
 
     for batch in batches:
         if not batch.num_rows:
@@ -364,7 +386,11 @@ def similar_components(
         .sortWithinPartitions("token", "size")
     )
     ship_package(spark)
-    across = gathered.mapInArrow(partial(_cross_pairs, percent=percent), "a long, b long")
+    across = (
+        gathered.mapInArrow(partial(_cross_pairs, percent=percent), "a long, b long, need long")
+        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need"))
+        .filter("shared >= need").select("a", "b")
+    )
     far = _verify(texts_of_reps, across, words, percent, levels)
     roots = components(
         known.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(far)

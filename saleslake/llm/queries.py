@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslake.llm.ngram_join import similar_components
+from saleslake.llm.secret_scan import scan
+from saleslake.llm.top_k import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the fixed patterns and literals of sensitive names."""
+    return scan(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-equal documents: five-word shingles, Jaccard of 0.8 or more."""
     return similar_components(_table(spark, sf_dir, "documents")).select(
@@ -23,10 +30,19 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return top_k(_table(spark, sf_dir, "embeddings")).selectExpr(
+        "query_id", "cast(rank AS int) AS rank", "vec_id", "score"
+    )
+
+
 def queries() -> dict[str, Query]:
     """All queries by name."""
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+        "op7_top_k_search": op7_top_k_search,
     }
 
 
