@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslake.llm.ngram_join import similar_components
+from saleslake.llm.packing import pack
 from saleslake.llm.secret_scan import scan
 from saleslake.llm.top_k import top_k
+from saleslake.llm.warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +33,11 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in windows of 2048."""
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector with all others."""
     return top_k(_table(spark, sf_dir, "embeddings")).selectExpr(
@@ -37,12 +45,21 @@ def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as legacy archives, converted to WARC and read back."""
+    return archive_pages(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def queries() -> dict[str, Query]:
     """All queries by name."""
     return {
         "op1_secret_scan": op1_secret_scan,
         "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+        "op5_packing": op5_packing,
         "op7_top_k_search": op7_top_k_search,
+        "op8_warc": op8_warc,
     }
 
 
