@@ -7,8 +7,8 @@ first half of the components, and a tail whose size the vectors' lengths bound.
    their whole scores. The k-th best of all is a safe cutoff: at least k rows reach it.
 2. The cutoffs go to all blocks. A block keeps the rows whose head plus the bound of the
    tail reaches the cutoff of the query; the true result and all its ties are among them.
-3. The tails of those rows are computed, and the k best of all blocks are taken, ties to
-   the smaller id.
+3. The tails of those rows are computed where they lie. Those whose whole score reaches
+   the cutoff are sent, and the k best of all blocks are taken, ties to the smaller id.
 
 Blocks of rows meet blocks of queries by an equal part number; the query blocks are copied
 to every part. Neither side is collected, and a task holds a block of each at a time.
@@ -82,7 +82,7 @@ def _whole_scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _meet(batch: pa.RecordBatch, k: int, first: bool) -> Iterator[pa.RecordBatch]:
-    """Entries (query, id, score) of each pair of blocks: the local lists, or what reaches the cutoff."""
+    """Entries (query, id, score) of pairs of blocks: local lists, or what reaches the cutoffs."""
     for row in batch.to_pylist():
         width = row["width"]
         half = width // 2
@@ -104,13 +104,17 @@ def _meet(batch: pa.RecordBatch, k: int, first: bool) -> Iterator[pa.RecordBatch
             # the slack covers the rounding of heads and lengths
             sizes = [np.linalg.norm(m, axis=1) for m in (queries, rows)]
             bound = head + np.outer(*tails) + 1e-9 * np.outer(*sizes) + 1
-            cuts = np.frombuffer(row["asked_cuts"])
+            # a cutoff may have been rounded up to a double
+            cuts = np.nextafter(np.frombuffer(row["asked_cuts"]), -np.inf)
             at, to = np.nonzero((~own) & ~(bound < cuts[:, None]))
             keep = slice(None)
         at, to = at[keep], to[keep]
         for some in range(0, len(at), 65536):
             a, b = at[some : some + 65536], to[some : some + 65536]
             scores = _whole_scores(queries[a], rows[b])
+            if not first:
+                enough = ~(scores < cuts[a])
+                a, b, scores = a[enough], b[enough], scores[enough]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(asked[a]), pa.array(ids[b]), pa.array(scores)],
                 ["query_id", "vec_id", "score"],
@@ -128,7 +132,8 @@ def _entries(rows: DataFrame, queries: DataFrame, parts: int, k: int, first: boo
     )
     placed = rows.select("width", "ids", "matrix", F.pmod(F.xxhash64("block"), F.lit(parts))
                          .cast("int").alias("part"))
-    return map_batches(placed.join(asked, ["part", "width"]), partial(_meet, k=k, first=first), _ENTRY)
+    met = placed.join(asked, ["part", "width"])
+    return map_batches(met, partial(_meet, k=k, first=first), _ENTRY)
 
 
 def _best(entries: DataFrame, k: int) -> DataFrame:
