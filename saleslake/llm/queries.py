@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleslake.llm.html_extract import extract
+from saleslake.llm.line_dedup import drop_boilerplate
 from saleslake.llm.ngram_join import similar_components
 from saleslake.llm.packing import pack
+from saleslake.llm.quality import judge
 from saleslake.llm.secret_scan import scan
+from saleslake.llm.sentencepiece_codec import digests
 from saleslake.llm.top_k import top_k
+from saleslake.llm.url_filter import filter_urls
 from saleslake.llm.warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +31,13 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that their source repeats on many of them."""
+    return drop_boilerplate(_table(spark, sf_dir, "documents"), count=True).select(
+        "doc_id", "source", "text", "n_lines", "n_dropped"
+    )
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-equal documents: five-word shingles, Jaccard of 0.8 or more."""
     return similar_components(_table(spark, sf_dir, "documents")).select(
@@ -33,11 +45,22 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids in short, and whether decoding them gives the text again."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return digests(_table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens in windows of 2048."""
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of every document under limits of its language and source."""
+    return judge(_table(spark, sf_dir, "documents"))
+
+
 def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector with all others."""
     return top_k(_table(spark, sf_dir, "embeddings")).selectExpr(
@@ -52,14 +75,49 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract(_table(spark, sf_dir, "pages"))
+
+
+# The rules that decide before the templates do.
+URL_RULES = (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+    ("block", "net/es/"), ("block", "net/fr/"),
+)
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on every page's url.
+
+    The last number of a page's path names the document it shows; a page is good if that
+    document is labelled good and not toxic.
+    """
+    pages = _table(spark, sf_dir, "pages")
+    shown = F.regexp_extract("url", r"/([0-9]{1,18})(?:\.[a-z]+)?/?(?:[?#].*)?$", 1)
+    labels = _table(spark, sf_dir, "labels").select(
+        "doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")
+    )
+    marks = pages.select("page_id", shown.try_cast("long").alias("doc_id")).join(labels, "doc_id")
+    judged = filter_urls(pages, marks.select(F.col("page_id").alias("id"), "good"), URL_RULES)
+    return judged.select(
+        F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "template", "purity"
+    )
+
+
 def queries() -> dict[str, Query]:
     """All queries by name."""
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_line_dedup": op2_line_dedup,
         "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_packing": op5_packing,
+        "op6_quality_rules": op6_quality_rules,
         "op7_top_k_search": op7_top_k_search,
         "op8_warc": op8_warc,
+        "op9_html_extraction": op9_html_extraction,
+        "op10_url_filters": op10_url_filters,
     }
 
 

@@ -6,7 +6,8 @@ ten. `convert_arc` reads such files and synthesises WARC records: the identifier
 made from the record's own bytes, so a retried task writes the same file; the timestamp
 comes from the fourteen-digit archive date; the type and the digests from the content.
 
-`write_archives` and `read_archives` go from a frame to a folder of archives and back.
+`write_legacy`, `convert` and `read_archives` go from a frame to folders of archives and
+back. The files are gzipped as wholes, which readers of both formats accept.
 Which record holds a payload is decided by a partial aggregate on its digest, whatever the
 number of copies.
 """
@@ -230,10 +231,11 @@ def _packed_archives(
 
 
 def _write_files(archives: DataFrame, path: str) -> None:
-    """One file for each row, its bytes as they are."""
+    """One gzipped file for each row, its bytes as they are."""
     (
         archives.select(F.col("value").cast("string").alias("value"))
-        .write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(path)
+        .write.option("lineSep", "\n").option("maxRecordsPerFile", 1)
+        .option("compression", "gzip").text(path)
     )
 
 
