@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from saleslake.llm.html_extract import extract
 from saleslake.llm.line_dedup import drop_boilerplate
 from saleslake.llm.ngram_join import similar_components
@@ -118,6 +119,7 @@ def queries() -> dict[str, Query]:
         "op8_warc": op8_warc,
         "op9_html_extraction": op9_html_extraction,
         "op10_url_filters": op10_url_filters,
+        "pipeline": corpus_pipeline.run,
     }
 
 

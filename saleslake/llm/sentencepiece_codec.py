@@ -89,9 +89,11 @@ class Codec:
         self._hidden = {i for i, k in enumerate(kinds) if k in (_CONTROL, _UNKNOWN)}
         self._text = [p.encode() for p in self.pieces]
         self._automaton = ahocorasick.Automaton()
+        self.known: dict[int, tuple[str, float]] = {}
         by_word = True
         for i, (piece, kind) in enumerate(zip(self.pieces, kinds, strict=True)):
             if kind in (_NORMAL, _USER) and piece:
+                self.known[i] = (piece, scores[i])
                 self._automaton.add_word(piece, (len(piece), scores[i], i))
                 by_word &= MARK not in piece.lstrip(MARK)
         self._automaton.make_automaton()
