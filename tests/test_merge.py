@@ -108,7 +108,8 @@ def test_further_columns_are_set_on_request(spark):
 
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_source_is_computed_once(spark, conf, tmp_path, null_safe):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    # Spark shortens paths in plans unless told otherwise, and a temporary folder's may be long
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__maxMetadataStringLength="5000")
     sales = str(tmp_path / "sales")
     spark.range(500).selectExpr(
         "date_add(date'2015-01-01', cast(id AS int)) AS order_date", "'c' AS product_category",
