@@ -28,13 +28,13 @@ from saleslake.llm.html_pages import labelled_pages
 from saleslake.llm.html_tree import Node, parse
 
 TRAINING_PAGES = 600
-PENALTY = 1.0
+PENALTY = 0.1
 
 # Elements that are told apart, and words that names are searched for.
 _TAGS = {
     tag: group for group, tags in {
         "nav": "nav menu", "header": "header hgroup", "footer": "footer", "aside": "aside",
-        "form": "form fieldset button label option legend dialog", "main": "article main",
+        "form": "form fieldset dialog", "field": "button label option legend", "main": "article main",
         "box": "div section center details", "p": "p", "head": "h1 h2 h3 h4 h5 h6",
         "list": "ul ol dl dir", "item": "li dt dd", "table": "table tbody thead tfoot tr td th",
         "quote": "blockquote pre figure figcaption caption", "title": "head",
@@ -52,6 +52,9 @@ _WORDS = {
     "form": r"search|log-?in|sign-?up|form\b",
     "content": r"content|article|\bpost\b|entry|story|\bmain\b|body\b",
 }
+#: Elements whose meaning alone says that they are no content, and the evidence that is worth.
+_NEVER = frozenset(("form", "nav", "aside", "footer"))
+EVIDENCE = -12.0
 _ROOTS = frozenset(("#page", "html", "body"))
 _FIND = [re.compile(pattern) for pattern in _WORDS.values()]
 _GROUPS = sorted(set(_TAGS.values()))
@@ -133,7 +136,10 @@ def marginals(nodes: list[Node], model: Model) -> list[float]:
     weights = model.weights
     (p00, p01), (p10, p11) = model.pairs
     exp, log = math.exp, math.log
-    own = [sum(weights[k] * v for k, v in row) for row in features(nodes)]
+    own = [
+        sum(weights[k] * v for k, v in row) + (EVIDENCE if node.tag in _NEVER else 0.0)
+        for node, row in zip(nodes, features(nodes), strict=True)
+    ]
     upward = own[:]
     message = [0.0] * len(nodes)
 

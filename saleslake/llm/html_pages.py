@@ -142,7 +142,7 @@ class _Writer:
                           ' class="entry-content"', ' class="article-body"', ' class="story"')
         body = self.content(self.pick("article", "article", "main", "div", "section"), names)
         inside = [f() for f in (self.advert, self.notice, self.aside, self.comments, self.form)
-                  if r.random() < 0.2]
+                  if r.random() < 0.3]
         if inside:
             cut = body.rindex("</")
             place = body.find("</p>") + 4 if r.random() < 0.5 and "</p>" in body else cut
