@@ -82,31 +82,47 @@ class ParseDate:
 Rule = RequireMatch | Strip | NullUnlessMatch | ParseDate
 
 
-def order_rules(date_format: str = DATE_FORMAT, date_shape: str = DATE_SHAPE) -> tuple[Rule, ...]:
-    """Rules for raw orders, for files that write their dates in another way."""
+def order_rules(
+    date_format: str = DATE_FORMAT,
+    date_shape: str = DATE_SHAPE,
+    *,
+    customer_id: str = CUSTOMER_ID,
+    product_id: str = PRODUCT_ID,
+) -> tuple[Rule, ...]:
+    """Rules for raw orders, for files with dates or ids of another form."""
     return (
         RequireMatch("order_id", ORDER_ID),
-        RequireMatch("customer_id", CUSTOMER_ID),
-        RequireMatch("product_id", PRODUCT_ID),
+        RequireMatch("customer_id", customer_id),
+        RequireMatch("product_id", product_id),
         ParseDate("order_date", date_format, date_shape),
         ParseDate("ship_date", date_format, date_shape),
     )
 
 
+def customer_rules(customer_id: str = CUSTOMER_ID) -> tuple[Rule, ...]:
+    """Rules for raw customers."""
+    return (
+        RequireMatch("customer_id", customer_id),
+        Strip("customer_name", NOT_IN_CUSTOMER_NAME),
+        NullUnlessMatch("email", EMAIL),
+        NullUnlessMatch("phone", PHONE),
+        NullUnlessMatch("postal_code", POSTAL_CODE),
+    )
+
+
+def product_rules(product_id: str = PRODUCT_ID) -> tuple[Rule, ...]:
+    """Rules for raw products."""
+    return (
+        RequireMatch("product_id", product_id),
+        Strip("product_name", NOT_IN_PRODUCT_NAME),
+    )
+
+
 RULES = MappingProxyType(
     {
         "raw_orders": order_rules(),
-        "raw_customers": (
-            RequireMatch("customer_id", CUSTOMER_ID),
-            Strip("customer_name", NOT_IN_CUSTOMER_NAME),
-            NullUnlessMatch("email", EMAIL),
-            NullUnlessMatch("phone", PHONE),
-            NullUnlessMatch("postal_code", POSTAL_CODE),
-        ),
-        "raw_products": (
-            RequireMatch("product_id", PRODUCT_ID),
-            Strip("product_name", NOT_IN_PRODUCT_NAME),
-        ),
+        "raw_customers": customer_rules(),
+        "raw_products": product_rules(),
     }
 )
 

@@ -53,3 +53,26 @@ REPORTS = {
     "profit_by_customer": profit_by_customer,
     "profit_by_customer_year": profit_by_customer_year,
 }
+
+
+def all_reports(summary: DataFrame) -> DataFrame:
+    """The four reports as rows of one frame, from one scan of the summary (A2-A5).
+
+    `report` names the report; a key it does not group by is NULL. The rows are in no order,
+    which `REPORTS` are for.
+    """
+    # grouping_id has a bit for each of the three keys, set where the report lacks it
+    names = {
+        0b011: "profit_by_year",
+        0b001: "profit_by_year_category",
+        0b110: "profit_by_customer",
+        0b010: "profit_by_customer_year",
+    }
+    keys = ("year", "product_category", "customer_name")
+    sets = [[key for at, key in enumerate(keys) if not absent >> (2 - at) & 1] for absent in names]
+    report = F.create_map(*(F.lit(part) for entry in names.items() for part in entry))
+    return (
+        summary.groupingSets([[F.col(key) for key in chosen] for chosen in sets], *keys)
+        .agg(F.sum("total_profit").alias("total"), F.grouping_id().cast("int").alias("_absent"))
+        .select(report[F.col("_absent")].alias("report"), *keys, "total")
+    )

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +18,9 @@ from saleslake.plans.staging import staged
 from saleslake.schemas import DATABASE, SUMMARY_KEYS, SourceSpec
 from saleslake.sources import read_source
 
+#: The table that tells which tables a named batch has reached.
+LOAD_LOG = "load_log"
+
 
 @dataclass(frozen=True)
 class SalesFiles:
@@ -49,13 +50,19 @@ def ingest(
 
 
 def _in_years(column: str, years: Iterable[int | None]) -> Column:
-    """Rows whose date is in one of the years, as date ranges a Parquet scan can use."""
-    tests = [
-        F.col(column).between(dt.date(year, 1, 1), dt.date(year, 12, 31))
-        if year is not None else F.col(column).isNull()
-        for year in set(years)
-    ]
-    return reduce(or_, tests, F.lit(False))
+    """Rows whose date is in one of the years.
+
+    One range from the first to the last year goes with the list, for a Parquet scan to skip
+    row groups by; both stay in Spark's dates, which reach back to year 0.
+    """
+    years = set(years)
+    known = sorted(year for year in years if year is not None)
+    test = F.lit(False)
+    if known:
+        first = F.make_date(F.lit(known[0]), F.lit(1), F.lit(1))
+        last = F.make_date(F.lit(known[-1]), F.lit(12), F.lit(31))
+        test = F.col(column).between(first, last) & F.year(column).isin(known)
+    return test | F.col(column).isNull() if None in years else test
 
 
 def refresh_summary(
@@ -91,6 +98,21 @@ def reports(spark: SparkSession, database: str = DATABASE) -> dict[str, DataFram
     return {name: report(summary) for name, report in REPORTS.items()}
 
 
+def _not_loaded(
+    spark: SparkSession, database: str, batch: str | None, frames: dict[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """The frames of the tables that this batch has not reached yet, by the load log."""
+    if batch is None:
+        return frames
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{database}`.`{LOAD_LOG}`"
+        " (batch STRING, table_name STRING) USING parquet"
+    )
+    log = catalog.table(spark, LOAD_LOG, database).filter(F.col("batch") == batch)
+    done = {row.table_name for row in log.select("table_name").distinct().collect()}
+    return {name: frame for name, frame in frames.items() if name not in done}
+
+
 def run_pipeline(
     spark: SparkSession,
     files: SalesFiles,
@@ -99,37 +121,61 @@ def run_pipeline(
     location: str | None = None,
     as_of: dt.date | None = None,
     user: str = DEFAULT_USER,
-    order_rules: Iterable[Rule] | None = None,
+    rules: Mapping[str, Iterable[Rule]] | None = None,
+    batch: str | None = None,
 ) -> dict[str, DataFrame]:
     """Load one batch of files, refresh the summary and return the reports.
 
     Each file is parsed once, into a staging table that the raw table, the cleansed
-    table and the join then read. Tables are kept; dropping them is a separate call.
+    table and the join then read. `rules` replaces the rules of the raw tables it names.
+    Orders are joined to the customers and products of this batch's own files, and drop if
+    theirs came with an earlier one. Tables are kept; dropping them is a separate call.
+
+    All that reads files or joins is done and written before the first table is appended to.
+    With a `batch` name the run can be repeated after a failure: a log in the database tells
+    which tables the batch has reached, and these are passed over. The log is written after
+    the append it tells of, so only a failure between these two would append a table twice.
+    Without a name every run appends.
     """
     catalog.create_database(spark, database, location)
     catalog.create_tables(spark, database)
+    rules = rules or {}
 
-    def batch(spec: SourceSpec | str, path: str) -> DataFrame:
-        return ingest(spark, spec, path, as_of=as_of, user=user)
+    def raw(spec: SourceSpec | str, path: str, name: str):
+        return staged(ingest(spark, spec, path, as_of=as_of, user=user), name)
 
     with (
-        staged(batch(files.customer_spec, files.customers), "raw_customers") as raw_customers,
-        staged(batch(files.product_spec, files.products), "raw_products") as raw_products,
-        staged(batch(files.order_spec, files.orders), "raw_orders") as raw_orders,
+        raw(files.customer_spec, files.customers, "raw_customers") as raw_customers,
+        raw(files.product_spec, files.products, "raw_products") as raw_products,
+        raw(files.order_spec, files.orders, "raw_orders") as raw_orders,
     ):
-        customers = cleanse(raw_customers, "raw_customers")
-        products = cleanse(raw_products, "raw_products")
-        orders = cleanse(raw_orders, "raw_orders", order_rules)
-        catalog.append(raw_customers, "raw_customers", database)
-        catalog.append(customers, "customers", database)
-        catalog.append(raw_products, "raw_products", database)
-        catalog.append(products, "products", database)
-        catalog.append(raw_orders, "raw_orders", database)
-        catalog.append(
-            enrich(orders, customers, products, as_of=as_of, user=user), "transactions", database
-        )
-        # At most one row per calendar year comes back to the driver.
-        years = [row[0] for row in orders.select(F.year("order_date")).distinct().collect()]
+        customers = cleanse(raw_customers, "raw_customers", rules.get("raw_customers"))
+        products = cleanse(raw_products, "raw_products", rules.get("raw_products"))
+        orders = cleanse(raw_orders, "raw_orders", rules.get("raw_orders"))
+        sales = enrich(orders, customers, products, as_of=as_of, user=user)
+        with staged(sales, "transactions") as transactions:
+            # At most one row per calendar year, of which four digits make 10,000.
+            years = [
+                row[0] for row in transactions.select(F.year("order_date")).distinct().collect()
+            ]
+            frames = {
+                "raw_customers": raw_customers,
+                "customers": customers,
+                "raw_products": raw_products,
+                "products": products,
+                "raw_orders": raw_orders,
+                "transactions": transactions,
+            }
+            for name, frame in _not_loaded(spark, database, batch, frames).items():
+                catalog.append(frame, name, database)
+                if batch is not None:
+                    catalog.append(
+                        spark.range(1).select(
+                            F.lit(batch).alias("batch"), F.lit(name).alias("table_name")
+                        ),
+                        LOAD_LOG,
+                        database,
+                    )
 
     refresh_summary(spark, database, years=years)
     return reports(spark, database)

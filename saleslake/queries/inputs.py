@@ -2,50 +2,28 @@
 
 `orders`, `customers` and `products` are clean and keep the tables' own integer keys.
 `raw_orders`, `raw_customers` and `raw_products` look like files before cleansing: text
-ids and dates, with bad values planted on fixed residues of the keys. A customer id has
-two letters and five digits, so one letter pair covers 100,000 keys; a key beyond the
-last pair gets a text that fails the id rule instead of another customer's id.
+ids and dates, with bad values planted on fixed residues of the keys.
+
+A customer id has two letters and five digits, which tells 67,600,000 keys apart. Later
+keys take ids again from the start, so no row is lost to the id rules. Where ids are joined
+they must stay apart: `wide` ids have further digits in front for such keys, and rules with
+the `WIDE_` patterns take them. Products have three more digits of both kinds.
+
+The row id is an int, so it wraps at 2^31, and an order number has six digits; both may
+repeat in a large table. No query joins or groups by either.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-
-_schemas: dict[str, StructType] = {}
+WIDE_CUSTOMER_ID = r"^[A-Z]{2}-\d{5,}$"
+WIDE_PRODUCT_ID = r"^[A-Z]{3}-[A-Z]{2}-\d{8,}$"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a table, with the footers read for its schema only the first time."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
-
-
-def _spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Deal the rows to all cores if the scan has fewer partitions than there are cores.
-
-    A Parquet file with one row group is read by one task, and without a shuffle all the
-    work up to the first aggregate would stay in it. A large table is left as it is. Rows
-    go by the hash of `columns`, which together tell nearly all rows apart; dealing them
-    round robin would sort every partition first.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
-
-
-def _lookup(df: DataFrame, key: str, *values: str) -> Column:
-    """A map from key to a struct of values, as a scalar subquery on a fixed-size table.
-
-    Used for nations and regions, of which there are 25 and 5 at any scale. Joining them
-    would make the planner's size estimate of the customers a product of both tables and
-    cost the customers their broadcast where they are small enough for one.
-    """
-    entries = F.collect_list(F.struct(key, F.struct(*values)))
-    return df.agg(F.map_from_entries(entries).alias("entries")).scalar()
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _with_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,38 +31,40 @@ def _with_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = read(spark, sf_dir, "nation").join(
         read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "inner"
     )
-    nation = _lookup(nations, "n_nationkey", "n_name", "r_name")[F.col("c_nationkey")]
-    return read(spark, sf_dir, "customer").select("*", nation.alias("nation")).select(
-        "*", "nation.n_name", "nation.r_name"
+    return read(spark, sf_dir, "customer").join(
+        nations, F.col("c_nationkey") == F.col("n_nationkey"), "inner"
     )
 
 
-def _letters(number: str) -> str:
-    return f"concat(char(65 + ({number}) div 26), char(65 + ({number}) % 26))"
+def _code(prefix: str, key: str, span: int, digits: int, wide: bool) -> str:
+    """A keyed id: two letters for the span the key is in, then its number there."""
+    letters = ", ".join(
+        f"char(65 + {part})" for part in
+        (f"(({key} div {span}) % 676) div 26", f"({key} div {span}) % 26")
+    )
+    number = f"{key} % {span}"
+    if wide:
+        number += f" + ({key} div {676 * span}) * {span}"
+    text = f"cast({number} AS string)"
+    return (
+        f"concat('{prefix}', {letters}, '-',"
+        f" lpad({text}, greatest({digits}, length({text})), '0'))"
+    )
 
 
-def customer_code(key: str) -> str:
+def customer_code(key: str, wide: bool = False) -> str:
     """SQL text of the sales customer id for an integer key."""
-    return (
-        f"CASE WHEN {key} >= 67600000 THEN cast({key} AS string)"
-        f" ELSE concat({_letters(f'{key} div 100000')}, '-',"
-        f" lpad(cast({key} % 100000 AS string), 5, '0')) END"
-    )
+    return _code("", f"cast({key} AS long)", 100_000, 5, wide)
 
 
-def product_code(key: str) -> str:
+def product_code(key: str, wide: bool = False) -> str:
     """SQL text of the sales product id for an integer key."""
-    return (
-        f"CASE WHEN {key} >= 67600000000 THEN cast({key} AS string)"
-        f" ELSE concat('FUR-', {_letters(f'{key} div 100000000')}, '-',"
-        f" lpad(cast({key} % 100000000 AS string), 8, '0')) END"
-    )
+    return _code("FUR-", f"cast({key} AS long)", 100_000_000, 8, wide)
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order: one sales order row each."""
-    lines = _spread(read(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
-    return lines.join(
+    return read(spark, sf_dir, "lineitem").join(
         read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "inner"
     )
 
@@ -138,25 +118,25 @@ def _planted_date(key: str, date: str) -> str:
     )
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     return _order_lines(spark, sf_dir).selectExpr(
         _ROW_ID,
         f"CASE WHEN o_orderkey % 17 = 0 THEN 'BAD' ELSE {_ORDER_ID} END AS order_id",
         f"{_planted_date('o_orderkey', 'o_orderdate')} AS order_date",
         f"{_planted_date('l_suppkey', 'l_shipdate')} AS ship_date",
         "o_orderpriority AS ship_mode",
-        f"CASE WHEN o_orderkey % 23 <> 0 THEN {customer_code('o_custkey')} END AS customer_id",
-        f"{product_code('l_partkey')} AS product_id",
+        f"CASE WHEN o_orderkey % 23 <> 0 THEN {customer_code('o_custkey', wide)} END AS customer_id",
+        f"{product_code('l_partkey', wide)} AS product_id",
         *_MEASURES,
     )
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_customers(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     four = "lpad(cast(c_custkey % 10000 AS string), 4, '0')"
     five = "lpad(cast(c_custkey % 100000 AS string), 5, '0')"
     return _with_geography(spark, sf_dir).selectExpr(
         "CASE WHEN c_custkey % 19 = 0 THEN concat('BAD-', c_custkey)"
-        f" WHEN c_custkey % 29 <> 0 THEN {customer_code('c_custkey')} END AS customer_id",
+        f" WHEN c_custkey % 29 <> 0 THEN {customer_code('c_custkey', wide)} END AS customer_id",
         "concat(translate(c_name, '0123456789', 'ABCDEFGHIJ'),"
         " CASE WHEN c_custkey % 4 = 0 THEN '-José 3' ELSE '' END) AS customer_name",
         "CASE c_custkey % 5 WHEN 0 THEN concat('user', c_custkey, '@mail')"
@@ -178,9 +158,9 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_products(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     return read(spark, sf_dir, "part").selectExpr(
-        f"CASE WHEN p_partkey % 19 = 0 THEN 'BAD' ELSE {product_code('p_partkey')} END"
+        f"CASE WHEN p_partkey % 19 = 0 THEN 'BAD' ELSE {product_code('p_partkey', wide)} END"
         " AS product_id",
         "p_type AS category",
         "p_brand AS subcategory",

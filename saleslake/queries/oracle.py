@@ -1,33 +1,47 @@
 """The queries as SQL for DuckDB, written against the driver's tables.
 
 Each statement builds the same sales-shaped inputs as `inputs.py` in CTEs and then states
-the operator in SQL. Patterns are the ones of the rules; the logic is not shared.
+the operator in SQL. Neither logic nor patterns are shared with the engine. Ids are the
+`wide` ones of `inputs.py`, and so are the patterns, or the short ones, whose ids repeat.
 """
 
 from __future__ import annotations
 
-from saleslake.functions import quality as q
-
-
-def _code(prefix: str, key: str, span: int, digits: int) -> str:
-    """A keyed id: two letters for the span number, then zero-padded digits."""
-    letters = (
-        f"chr(CAST(65 + ({key} // {span}) // 26 AS INTEGER))"
-        f" || chr(CAST(65 + ({key} // {span}) % 26 AS INTEGER))"
-    )
+# What ids, contact data and dates must look like, and what names lose.
+_ORDER = "^[A-Z]{2}-[0-9]{4}-[0-9]{6}$"
+_CUSTOMER = "^[A-Z]{2}-[0-9]{5}$"
+_PRODUCT = "^[A-Z]{3}-[A-Z]{2}-[0-9]{8}$"
+_WIDE_CUSTOMER = "^[A-Z]{2}-[0-9]{5,}$"
+_WIDE_PRODUCT = "^[A-Z]{3}-[A-Z]{2}-[0-9]{8,}$"
+_EMAIL = "^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}$"
+_PHONE = "^([+]1[ ]?)?[(]?[0-9]{3}[)]?[ .-]?[0-9]{3}[ .-]?[0-9]{4}$"
+_POSTAL = "^[0-9]{5}(-[0-9]{4})?$"
+_TWO_DIGIT_DATE = "^[0-9]{2}/[0-9]{2}/[0-9]{4}$"
+_SHORT_DATE = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+_NOT_LETTER = "[^a-zA-Z[:space:]]"
+_NOT_ASCII = "[^ -~\\t\\n\\r]"
+
+
+def _code(prefix: str, key: str, span: int, digits: int, wide: bool) -> str:
+    """A keyed id: two letters for the span number, then digits with zeros in front."""
+    at = f"({key} // {span}) % 676"
+    number = f"{key} % {span}"
+    if wide:
+        number += f" + ({key} // {676 * span}) * {span}"
+    text = f"CAST({number} AS VARCHAR)"
     return (
-        f"CASE WHEN {key} >= {676 * span} THEN CAST({key} AS VARCHAR)"
-        f" ELSE '{prefix}' || {letters} || '-'"
-        f" || lpad(CAST({key} % {span} AS VARCHAR), {digits}, '0') END"
+        f"'{prefix}' || chr(CAST(65 + ({at}) // 26 AS INTEGER))"
+        f" || chr(CAST(65 + ({at}) % 26 AS INTEGER)) || '-'"
+        f" || lpad({text}, CAST(greatest({digits}, length({text})) AS INTEGER), '0')"
     )
 
 
-def _customer_code(key: str) -> str:
-    return _code("", key, 100_000, 5)
+def _customer_code(key: str, wide: bool) -> str:
+    return _code("", f"CAST({key} AS BIGINT)", 100_000, 5, wide)
 
 
-def _product_code(key: str) -> str:
-    return _code("FUR-", key, 100_000_000, 8)
+def _product_code(key: str, wide: bool) -> str:
+    return _code("FUR-", f"CAST({key} AS BIGINT)", 100_000_000, 8, wide)
 
 
 _ROW_ID = "CAST((l_orderkey * 8 + l_linenumber) % 2147483647 AS INTEGER) AS row_id"
@@ -50,7 +64,7 @@ def _planted_date(key: str, date: str) -> str:
     )
 
 
-def _parsed(column: str, form: str = "%d/%m/%Y", shape: str = q.DATE_SHAPE) -> str:
+def _parsed(column: str, form: str = "%d/%m/%Y", shape: str = _TWO_DIGIT_DATE) -> str:
     return (
         f"CASE WHEN regexp_matches({column}, '{shape}')"
         f" THEN CAST(try_strptime({column}, '{form}') AS DATE) END AS {column}"
@@ -66,42 +80,46 @@ def _kept(column: str, pattern: str) -> str:
     return f"CASE WHEN regexp_matches({column}, '{pattern}') THEN {column} END AS {column}"
 
 
-_CTES = {
-    "orders_in": f"""
+def _ctes(wide: bool) -> dict[str, str]:
+    customer, product = (
+        (_WIDE_CUSTOMER, _WIDE_PRODUCT) if wide else (_CUSTOMER, _PRODUCT)
+    )
+    return {
+        "orders_in": f"""
   SELECT {_ROW_ID}, {_ORDER_ID} AS order_id,
     CAST(o_orderdate AS DATE) AS order_date, CAST(l_shipdate AS DATE) AS ship_date,
     o_orderpriority AS ship_mode, o_custkey AS customer_id, l_partkey AS product_id,
     {_MEASURES}
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "customers_in": """
+        "customers_in": """
   SELECT c_custkey AS customer_id, c_name AS customer_name, n_name AS country
   FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "products_in": """
+        "products_in": """
   SELECT p_partkey AS product_id, p_type AS category, p_brand AS subcategory,
     p_name AS product_name
   FROM part""",
-    "joined": """
+        "joined": """
   SELECT row_id, order_id, order_date, ship_date, ship_mode, quantity, price, discount,
     profit, customer_name, country, category AS product_category,
     subcategory AS product_sub_category
   FROM orders_in JOIN customers_in USING (customer_id) JOIN products_in USING (product_id)""",
-    "summary": """
+        "summary": """
   SELECT CAST(year(order_date) AS INTEGER) AS year, product_category, product_sub_category,
     customer_name, CAST(SUM(profit) AS DECIMAL(20,2)) AS total_profit
   FROM joined GROUP BY ALL""",
-    "raw_orders": f"""
+        "raw_orders": f"""
   SELECT {_ROW_ID},
     CASE WHEN o_orderkey % 17 = 0 THEN 'BAD' ELSE {_ORDER_ID} END AS order_id,
     {_planted_date("o_orderkey", "o_orderdate")} AS order_date,
     {_planted_date("l_suppkey", "l_shipdate")} AS ship_date,
     o_orderpriority AS ship_mode,
-    CASE WHEN o_orderkey % 23 <> 0 THEN {_customer_code("o_custkey")} END AS customer_id,
-    {_product_code("l_partkey")} AS product_id,
+    CASE WHEN o_orderkey % 23 <> 0 THEN {_customer_code("o_custkey", wide)} END AS customer_id,
+    {_product_code("l_partkey", wide)} AS product_id,
     {_MEASURES}
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "raw_customers": f"""
+        "raw_customers": f"""
   SELECT CASE WHEN c_custkey % 19 = 0 THEN 'BAD-' || {_KEY}
-      WHEN c_custkey % 29 <> 0 THEN {_customer_code("c_custkey")} END AS customer_id,
+      WHEN c_custkey % 29 <> 0 THEN {_customer_code("c_custkey", wide)} END AS customer_id,
     translate(c_name, '0123456789', 'ABCDEFGHIJ')
       || CASE WHEN c_custkey % 4 = 0 THEN '-José 3' ELSE '' END AS customer_name,
     CASE c_custkey % 5 WHEN 0 THEN 'user' || {_KEY} || '@mail'
@@ -120,63 +138,65 @@ _CTES = {
     r_name AS region
   FROM customer JOIN nation ON c_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey""",
-    "raw_products": f"""
-  SELECT CASE WHEN p_partkey % 19 = 0 THEN 'BAD' ELSE {_product_code("p_partkey")} END
+        "raw_products": f"""
+  SELECT CASE WHEN p_partkey % 19 = 0 THEN 'BAD' ELSE {_product_code("p_partkey", wide)} END
       AS product_id,
     p_type AS category, p_brand AS subcategory,
     p_name || CASE WHEN p_partkey % 3 = 0 THEN ' José-3 ®' ELSE '' END AS product_name,
     'State ' || CAST(p_partkey % 50 AS VARCHAR) AS state,
     CAST(p_retailprice AS DECIMAL(10,2)) AS price_per_product
   FROM part""",
-    "valid_orders": f"""
+        "valid_orders": f"""
   SELECT * FROM raw_orders
-  WHERE regexp_matches(order_id, '{q.ORDER_ID}')
-    AND regexp_matches(customer_id, '{q.CUSTOMER_ID}')
-    AND regexp_matches(product_id, '{q.PRODUCT_ID}')""",
-    "clean_orders": f"""
+  WHERE regexp_matches(order_id, '{_ORDER}')
+    AND regexp_matches(customer_id, '{customer}')
+    AND regexp_matches(product_id, '{product}')""",
+        "clean_orders": f"""
   SELECT * REPLACE ({_parsed("order_date")}, {_parsed("ship_date")}) FROM valid_orders""",
-    "clean_customers": f"""
+        "clean_customers": f"""
   SELECT * REPLACE (
-      regexp_replace(customer_name, '{q.NOT_IN_CUSTOMER_NAME}', '', 'g') AS customer_name,
-      {_kept("email", q.EMAIL)}, {_kept("phone", q.PHONE)},
-      {_kept("postal_code", q.POSTAL_CODE)})
-  FROM raw_customers WHERE regexp_matches(customer_id, '{q.CUSTOMER_ID}')""",
-    "clean_products": f"""
+      regexp_replace(customer_name, '{_NOT_LETTER}', '', 'g') AS customer_name,
+      {_kept("email", _EMAIL)}, {_kept("phone", _PHONE)},
+      {_kept("postal_code", _POSTAL)})
+  FROM raw_customers WHERE regexp_matches(customer_id, '{customer}')""",
+        "clean_products": f"""
   SELECT * REPLACE (
-      regexp_replace(product_name, '{q.NOT_IN_PRODUCT_NAME}', '', 'g') AS product_name)
-  FROM raw_products WHERE regexp_matches(product_id, '{q.PRODUCT_ID}')""",
-    "clean_sales": """
+      regexp_replace(product_name, '{_NOT_ASCII}', '', 'g') AS product_name)
+  FROM raw_products WHERE regexp_matches(product_id, '{product}')""",
+        "clean_sales": """
   SELECT o.*, c.customer_name, c.country, p.category AS product_category,
     p.subcategory AS product_sub_category
   FROM clean_orders o JOIN clean_customers c ON o.customer_id = c.customer_id
     JOIN clean_products p ON o.product_id = p.product_id""",
-    "clean_summary": """
+        "clean_summary": """
   SELECT CAST(year(order_date) AS INTEGER) AS year, product_category, product_sub_category,
     customer_name, CAST(SUM(profit) AS DECIMAL(20,2)) AS total_profit
   FROM clean_sales GROUP BY ALL""",
-    "by_segment": """
+        "dated_sales": """
   SELECT CAST(year(CASE WHEN ship_mode <> '5-LOW' THEN order_date END) AS INTEGER) AS year,
     category AS product_category, subcategory AS product_sub_category,
-    c_mktsegment AS customer_name, ship_date, profit
+    c_name AS customer_name, ship_date, profit
   FROM orders_in JOIN customer ON customer_id = c_custkey JOIN products_in USING (product_id)""",
-    "earlier": """
+        "earlier": """
   SELECT year, product_category, product_sub_category, customer_name,
     CAST(SUM(profit) AS DECIMAL(20,2)) AS total_profit
-  FROM by_segment WHERE ship_date < DATE '1999-01-01' GROUP BY ALL""",
-    "later": """
+  FROM dated_sales WHERE ship_date < DATE '1999-01-01' GROUP BY ALL""",
+        "later": """
   SELECT year, product_category, product_sub_category, customer_name,
     CAST(SUM(profit) AS DECIMAL(20,2)) AS total_profit
-  FROM by_segment WHERE ship_date >= DATE '1997-01-01' GROUP BY ALL""",
-}
+  FROM dated_sales WHERE ship_date >= DATE '1997-01-01' GROUP BY ALL""",
+    }
+
 
 _CLEAN = ("raw_orders", "raw_customers", "raw_products", "valid_orders", "clean_orders",
           "clean_customers", "clean_products", "clean_sales")
 _NATURAL = ("orders_in", "customers_in", "products_in", "joined")
-_BATCHES = ("orders_in", "products_in", "by_segment", "earlier", "later")
+_BATCHES = ("orders_in", "products_in", "dated_sales", "earlier", "later")
 
 
-def _sql(ctes: tuple[str, ...], body: str) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({_CTES[name]})" for name in ctes) + "\n" + body
+def _sql(names: tuple[str, ...], body: str, wide: bool = False) -> str:
+    ctes = _ctes(wide)
+    return "WITH " + ",\n".join(f"{name} AS ({ctes[name]})" for name in names) + "\n" + body
 
 
 def _report(ctes: tuple[str, ...], keys: str, total: str) -> str:
@@ -208,7 +228,9 @@ FROM (SELECT *, 1 AS here FROM earlier) e
     )
 
 
-def _counts(ctes: tuple[str, ...], label: str, parts: dict[str, str]) -> str:
+def _counts(
+    ctes: tuple[str, ...], label: str, parts: dict[str, str], wide: bool = False
+) -> str:
     return _sql(
         ctes,
         "\nUNION ALL ".join(
@@ -216,6 +238,7 @@ def _counts(ctes: tuple[str, ...], label: str, parts: dict[str, str]) -> str:
             + (f"COUNT(*) AS row_count FROM {source}" if source else "0 AS row_count")
             for name, source in parts.items()
         ),
+        wide,
     )
 
 
@@ -228,7 +251,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT * REPLACE (CAST(price_per_product AS VARCHAR) AS price_per_product)"
         " FROM raw_products"
     )
-    final_summary = _sql((*_CLEAN, "clean_summary"), "SELECT * FROM clean_summary")
+    final_summary = _sql((*_CLEAN, "clean_summary"), "SELECT * FROM clean_summary", True)
     return {
         "sales_summary": _sql(summary, "SELECT * FROM summary"),
         "profit_by_year": _report(summary, "year", "total_profit_by_year"),
@@ -288,8 +311,8 @@ FROM lineitem""",
         "orders_parsed_dates_relaxed": _sql(
             ("raw_orders",),
             dates.format(
-                _parsed("order_date", shape=q.RELAXED_DATE_SHAPE),
-                _parsed("ship_date", shape=q.RELAXED_DATE_SHAPE),
+                _parsed("order_date", shape=_SHORT_DATE),
+                _parsed("ship_date", shape=_SHORT_DATE),
             ),
         ),
         "orders_parsed_dates_month_first": _sql(
@@ -344,6 +367,7 @@ FROM ({null_safe}) m""",
                 "products_valid": "clean_products",
                 "transactions": "clean_sales",
             },
+            True,
         ),
         "csv_scan": _sql(("raw_products",), products_text),
         "json_scan": _sql(("raw_orders",), "SELECT * FROM raw_orders"),
@@ -364,6 +388,7 @@ UNION ALL SELECT 'profit_by_customer', NULL, NULL, customer_name,
   CAST(SUM(total_profit) AS DECIMAL(30,2)) FROM clean_summary GROUP BY customer_name
 UNION ALL SELECT 'profit_by_customer_year', year, NULL, customer_name,
   CAST(SUM(total_profit) AS DECIMAL(30,2)) FROM clean_summary GROUP BY customer_name, year""",
+            True,
         ),
         "full_run": final_summary,
     }

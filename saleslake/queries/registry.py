@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -23,13 +24,16 @@ from saleslake.functions.quality import (
     RequireMatch,
     apply_rules,
     cleanse,
+    customer_rules,
+    order_rules,
+    product_rules,
 )
 from saleslake.operators import enrich, join_customers, join_products, merge_upsert, summarize
 from saleslake.operators.merge import tag_merge
-from saleslake.operators.summary import REPORTS
+from saleslake.operators.summary import REPORTS, all_reports
 from saleslake.plans import catalog
 from saleslake.plans.pipeline import SalesFiles, ingest, refresh_summary, run_pipeline
-from saleslake.plans.staging import new_folder
+from saleslake.plans.staging import new_folder, stored
 from saleslake.queries import inputs
 from saleslake.queries.workbooks import write_workbooks
 from saleslake.schemas import SUMMARY_KEYS, TABLES
@@ -39,6 +43,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = dt.date(2020, 1, 1)
 
+#: Rules for queries that join by ids, whose number of digits grows with the data.
+WIDE_RULES = {
+    "raw_orders": order_rules(
+        customer_id=inputs.WIDE_CUSTOMER_ID, product_id=inputs.WIDE_PRODUCT_ID
+    ),
+    "raw_customers": customer_rules(inputs.WIDE_CUSTOMER_ID),
+    "raw_products": product_rules(inputs.WIDE_PRODUCT_ID),
+}
+
 _DATES = tuple(rule for rule in RULES["raw_orders"] if isinstance(rule, ParseDate))
 _IDS = tuple(rule for rule in RULES["raw_orders"] if isinstance(rule, RequireMatch))
 
@@ -83,16 +96,16 @@ def orders_with_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("row_id", "order_id", "product_id", "category", "subcategory")
 
 
-def _product_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.raw_products(spark, sf_dir).toDF(*inputs.PRODUCT_HEADERS)
+def _product_file(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    return inputs.raw_products(spark, sf_dir, wide).toDF(*inputs.PRODUCT_HEADERS)
 
 
-def _order_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.raw_orders(spark, sf_dir).toDF(*inputs.ORDER_HEADERS)
+def _order_file(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    return inputs.raw_orders(spark, sf_dir, wide).toDF(*inputs.ORDER_HEADERS)
 
 
-def _customer_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.raw_customers(spark, sf_dir).toDF(*inputs.CUSTOMER_HEADERS)
+def _customer_file(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    return inputs.raw_customers(spark, sf_dir, wide).toDF(*inputs.CUSTOMER_HEADERS)
 
 
 def standardized_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,23 +175,24 @@ def products_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batch_summaries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A stored earlier and a later summary by segment, whose ship dates overlap.
+    """A stored earlier and a stored later summary by customer, whose ship dates overlap.
 
     Orders of one priority go without an order date, so both hold NULL-year groups.
     """
     dated = F.when(F.col("ship_mode") != "5-LOW", F.col("order_date"))
     sales = enrich(
         inputs.orders(spark, sf_dir).withColumn("order_date", dated),
-        inputs.customers(spark, sf_dir).withColumn("customer_name", F.col("segment")),
+        inputs.customers(spark, sf_dir),
         inputs.products(spark, sf_dir),
         as_of=AS_OF,
     )
-    earlier = summarize(sales.filter(F.col("ship_date") < dt.date(1999, 1, 1)))
-    stored = new_folder(spark, "earlier-summary")
-    earlier.write.parquet(stored)
     return (
-        spark.read.schema(earlier.schema).parquet(stored),
-        summarize(sales.filter(F.col("ship_date") >= dt.date(1997, 1, 1))),
+        stored(
+            summarize(sales.filter(F.col("ship_date") < dt.date(1999, 1, 1))), "earlier-summary"
+        ),
+        stored(
+            summarize(sales.filter(F.col("ship_date") >= dt.date(1997, 1, 1))), "later-summary"
+        ),
     )
 
 
@@ -201,9 +215,11 @@ def merge_inserts_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _database(spark: SparkSession, purpose: str) -> str:
-    """A fresh database of this purpose in the shared folder."""
-    name = f"saleslake_{purpose}"
-    catalog.drop_database(spark, name)
+    """A new database of this call's own in the shared folder.
+
+    It stays while the application runs, as the frames handed out read its tables.
+    """
+    name = f"saleslake_{purpose}_{uuid.uuid4().hex}"
     catalog.create_database(spark, name, new_folder(spark, purpose))
     catalog.create_tables(spark, name)
     return name
@@ -254,11 +270,12 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows read, kept by the rules, and joined."""
+    clean = _all_keys(spark, sf_dir)
     steps = {
         "orders_read": inputs.raw_orders(spark, sf_dir),
-        "orders_valid": orders_clean(spark, sf_dir),
-        "customers_valid": customers_clean(spark, sf_dir),
-        "products_valid": products_clean(spark, sf_dir),
+        "orders_valid": clean["raw_orders"],
+        "customers_valid": clean["raw_customers"],
+        "products_valid": clean["raw_products"],
         "transactions": _clean_transactions(spark, sf_dir),
     }
     counts = [
@@ -270,12 +287,23 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _all_keys(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The cleansed inputs with ids that tell any number of keys apart."""
+    raw = {
+        "raw_orders": inputs.raw_orders,
+        "raw_customers": inputs.raw_customers,
+        "raw_products": inputs.raw_products,
+    }
+    return {
+        name: cleanse(read(spark, sf_dir, wide=True), name, WIDE_RULES[name])
+        for name, read in raw.items()
+    }
+
+
 def _clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = _all_keys(spark, sf_dir)
     return enrich(
-        orders_clean(spark, sf_dir),
-        customers_clean(spark, sf_dir),
-        products_clean(spark, sf_dir),
-        as_of=AS_OF,
+        clean["raw_orders"], clean["raw_customers"], clean["raw_products"], as_of=AS_OF
     )
 
 
@@ -308,46 +336,27 @@ def ingest_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest(spark, "Product.csv", path, as_of=AS_OF)
 
 
-def _run_on_files(spark: SparkSession, sf_dir: str, database: str) -> None:
-    folder = new_folder(spark, "pipeline-files")
-    files = SalesFiles(f"{folder}/customers", f"{folder}/products", f"{folder}/orders")
-    write_workbooks(_customer_file(spark, sf_dir), files.customers)
-    _product_file(spark, sf_dir).write.option("header", True).csv(files.products)
-    _order_file(spark, sf_dir).write.json(files.orders)
-    run_pipeline(spark, files, database, as_of=AS_OF)
-
-
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored summary after a run over files in all three formats."""
     database = _database(spark, "pipeline")
-    _run_on_files(spark, sf_dir, database)
+    folder = new_folder(spark, "pipeline-files")
+    files = SalesFiles(f"{folder}/customers", f"{folder}/products", f"{folder}/orders")
+    write_workbooks(_customer_file(spark, sf_dir, True), files.customers)
+    _product_file(spark, sf_dir, True).write.option("header", True).csv(files.products)
+    _order_file(spark, sf_dir, True).write.json(files.orders)
+    run_pipeline(spark, files, database, as_of=AS_OF, rules=WIDE_RULES)
     return catalog.table(spark, "sales_summary", database).select(*SUMMARY_KEYS, "total_profit")
 
 
 def report_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4, T5: the four reports of a refreshed stored summary, in one frame."""
+    """T4, T5: the four reports of a refreshed stored summary, in one frame and one pass."""
     database = _database(spark, "reports")
     catalog.append(_clean_transactions(spark, sf_dir), "transactions", database)
     refresh_summary(spark, database)
-    summary = catalog.table(spark, "sales_summary", database)
-    packed = []
-    for name, report in REPORTS.items():
-        frame = report(summary)
-        total = next(c for c in frame.columns if c.startswith("total_"))
-        packed.append(
-            frame.select(
-                F.lit(name).alias("report"),
-                *(
-                    (F.col(c) if c in frame.columns else F.lit(None)).cast(kind).alias(c)
-                    for c, kind in (
-                        ("year", "int"), ("product_category", "string"),
-                        ("customer_name", "string"),
-                    )
-                ),
-                F.col(total).alias("total"),
-            )
-        )
-    return reduce(DataFrame.unionByName, packed)
+    return all_reports(catalog.table(spark, "sales_summary", database)).select(
+        "report", "year", "product_category", "customer_name",
+        F.col("total").cast("decimal(30,2)").alias("total"),
+    )
 
 
 def queries() -> dict[str, Query]:
