@@ -4,13 +4,16 @@
 merge is written in two parts:
 
 * target LEFT JOIN batch keeps every target row and replaces its value when the batch
-  has a different one. A small batch is broadcast without moving the target; otherwise
-  AQE may split the target side of a hot key, which it cannot do for a full outer join.
-* batch keys UNION target keys, grouped, gives the rows to insert: those of groups without
-  a target key. Copies of a target key are combined before the shuffle.
-
-Both read one `batch` sub-plan, so its shuffle is planned once and reused. The target is
-read twice, the second time for its keys only, and is meant to be a stored table.
+  has a different one. AQE may split the target side of a hot key, which it cannot do for
+  a full outer join.
+* batch LEFT ANTI JOIN (target keys LEFT SEMI JOIN batch) gives the rows to insert. Only
+  keys that the batch has leave the inner join.
+
+A batch whose size Spark knows to be small, such as one read from a file, is broadcast to
+both target scans, and no target row is shuffled. A larger batch shuffles the target's rows
+for the first join and its keys, without the other columns, for the second. The target is
+read twice, the second time for its keys only, and is meant to be a stored table, as is the
+batch, which would be computed more than once otherwise.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 ACTION = "merge_action"
 KEPT, UPDATED, INSERTED = "kept", "updated", "inserted"
 
-_NEW = "merge_new_"
+_NEW, _OLD, _KEY = "merge_new_", "merge_old_", "merge_key_"
 
 
 def _one_row_per_key(
@@ -33,9 +36,7 @@ def _one_row_per_key(
 ) -> DataFrame:
     """The source under private names and in the target's types, its keys proven unique.
 
-    The check guards the keys as well as the value. As it needs the group's row count, the
-    optimizer cannot move a join's NOT NULL filter on a key below the aggregate, and both
-    joins keep the same aggregate to share.
+    The check guards the keys as well as the value, so every use of the batch runs it.
     """
     types = {f.name: f.dataType for f in target.schema.fields}
     grouped = source.groupBy(*keys).agg(
@@ -52,29 +53,26 @@ def _one_row_per_key(
     )
 
 
+def _same_key(keys: Sequence[str], left: str, right: str, null_safe: bool) -> Column:
+    """Equality of two prefixed sets of keys."""
+    return reduce(
+        and_,
+        (
+            F.col(left + key).eqNullSafe(F.col(right + key)) if null_safe
+            else F.col(left + key) == F.col(right + key)
+            for key in keys
+        ),
+    )
+
+
 def _missing(
-    batch: DataFrame, target: DataFrame, keys: Sequence[str], value: str, null_safe: bool
+    batch: DataFrame, target: DataFrame, keys: Sequence[str], null_safe: bool
 ) -> DataFrame:
-    """Batch rows whose key the target lacks.
-
-    Grouping takes NULLs as equal; under `=` a target key with a NULL equals nothing, so
-    such keys stay out.
-    """
-    present = target.select(*keys) if null_safe else target.select(*keys).dropna("any")
-    taken = f"{_NEW}taken"
-    mine = [_NEW + c for c in (*keys, value)]
-    theirs = present.select(
-        *(F.col(key).alias(_NEW + key) for key in keys),
-        F.lit(None).cast(target.schema[value].dataType).alias(_NEW + value),
-        F.lit(True).alias(taken),
-    )
-    return (
-        batch.select(*mine, F.lit(False).alias(taken))
-        .unionByName(theirs)
-        .groupBy(*mine[:-1])
-        .agg(F.max(mine[-1]).alias(mine[-1]), F.max(taken).alias(taken))
-        .filter(~F.col(taken))
-    )
+    """Batch rows whose key the target lacks."""
+    theirs = target.select(*(F.col(key).alias(_OLD + key) for key in keys))
+    mine = batch.select(*(F.col(_NEW + key).alias(_KEY + key) for key in keys))
+    present = theirs.join(mine, _same_key(keys, _OLD, _KEY, null_safe), "left_semi")
+    return batch.join(present, _same_key(keys, _NEW, _OLD, null_safe), "left_anti")
 
 
 def tag_merge(
@@ -96,14 +94,7 @@ def tag_merge(
     """
     on_update, on_insert = on_update or {}, on_insert or {}
     batch = _one_row_per_key(source, target, keys, value)
-    match = reduce(
-        and_,
-        (
-            F.col(key).eqNullSafe(F.col(_NEW + key)) if null_safe
-            else F.col(key) == F.col(_NEW + key)
-            for key in keys
-        ),
-    )
+    match = _same_key(keys, "", _NEW, null_safe)
     new_value = F.col(_NEW + value)
     changed = F.col(f"{_NEW}matched") & (F.col(value) != new_value)
     set_to = {value: new_value, **on_update}
@@ -116,7 +107,7 @@ def tag_merge(
         ),
         F.when(changed, F.lit(UPDATED)).otherwise(F.lit(KEPT)).alias(ACTION),
     )
-    inserted = _missing(batch, target, keys, value, null_safe).select(
+    inserted = _missing(batch, target, keys, null_safe).select(
         *(
             filled.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
             for f in target.schema.fields

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from saleslake.functions.columns import conform
@@ -72,11 +72,18 @@ def append(df: DataFrame, name: str, database: str = DATABASE) -> None:
     A name that is not a table is an error; it is never created on the fly. Rows of a
     partitioned table are gathered by partition value first, or every task would write a
     file into every partition; AQE spreads a value with much data over several files.
+    A table filed by year is gathered by year and sorted by date within a task, so files and
+    row groups hold narrow ranges of dates.
     """
     rows = conform(df, table(df.sparkSession, name, database).schema)
-    split_by = TABLES[name].partition_by if name in TABLES else ()
-    if split_by:
-        rows = rows.hint("rebalance", *split_by)
+    spec = TABLES.get(name)
+    if spec and spec.partition_by:
+        rows = rows.hint("rebalance", *spec.partition_by)
+    elif spec and spec.by_year_of:
+        rows = (
+            rows.withColumn("_year", F.year(spec.by_year_of)).hint("rebalance", "_year")
+            .sortWithinPartitions(spec.by_year_of).drop("_year")
+        )
     rows.write.insertInto(f"`{database}`.`{name}`")
 
 
@@ -115,13 +122,16 @@ def merge_into(
 ) -> dict[str, int]:
     """Upsert `source` into a partitioned table; returns rows updated and inserted (K2).
 
+    The source is written first: its size is then known, so a small one is broadcast and the
+    table's rows stay where they are, and it is computed once for both joins.
+
     `partitions` lists the partition values the source touches, when the caller knows
     them, so that the others are not read. The merged rows are written to a staging
-    table, because Spark refuses to overwrite what it reads, and only partitions with a
+    folder, because Spark refuses to overwrite what it reads, and only partitions with a
     changed row are replaced from it. Running the same merge again changes nothing.
 
-    Replacing is not one transaction: after a failure in between, the staging table is
-    still there and the merge can be run again.
+    Replacing is not one transaction: after a failure in between, the staged rows are still
+    there and the merge can be run again.
     """
     spark = source.sparkSession
     if not TABLES[name].partition_by:
@@ -129,23 +139,32 @@ def merge_into(
     target = table(spark, name, database)
     split_by = TABLES[name].partition_by[0]
     touched = target if partitions is None else target.filter(any_of(split_by, partitions))
-    merged = tag_merge(
-        touched, source, keys, value,
-        null_safe=null_safe, on_update=on_update, on_insert=on_insert,
-    )
-    # AQE cuts a partition value that holds much of the data into several files.
-    with staged(merged.hint("rebalance", split_by), name, [split_by]) as rows:
-        counts = rows.groupBy(split_by, ACTION).count().filter(F.col(ACTION) != KEPT).collect()
-        changed = {row[split_by] for row in counts}
-        if changed:
-            with _dynamic_overwrite(spark):
-                (
-                    rows.filter(any_of(split_by, changed))
-                    .select(*target.columns)
-                    .write.mode("overwrite")
-                    .insertInto(f"`{database}`.`{name}`")
-                )
+    with staged(source.select(*keys, value), f"{name}-batch") as batch:
+        merged = tag_merge(
+            touched, batch, keys, value,
+            null_safe=null_safe, on_update=on_update, on_insert=on_insert,
+        )
+        # AQE cuts a partition value that holds much of the data into several files.
+        with staged(merged.hint("rebalance", split_by), name, [split_by]) as rows:
+            counts = _replace_changed(rows, target.columns, name, database, split_by)
     return {
         action: sum(row["count"] for row in counts if row[ACTION] == action)
         for action in (UPDATED, INSERTED)
     }
+
+
+def _replace_changed(
+    rows: DataFrame, columns: list[str], name: str, database: str, split_by: str
+) -> list[Row]:
+    """Replace the partitions with a changed row; returns the changes per partition."""
+    counts = rows.groupBy(split_by, ACTION).count().filter(F.col(ACTION) != KEPT).collect()
+    changed = {row[split_by] for row in counts}
+    if changed:
+        with _dynamic_overwrite(rows.sparkSession):
+            (
+                rows.filter(any_of(split_by, changed))
+                .select(*columns)
+                .write.mode("overwrite")
+                .insertInto(f"`{database}`.`{name}`")
+            )
+    return counts

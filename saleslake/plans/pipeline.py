@@ -57,12 +57,15 @@ def _in_years(column: str, years: Iterable[int | None]) -> Column:
     """
     years = set(years)
     known = sorted(year for year in years if year is not None)
-    test = F.lit(False)
-    if known:
-        first = F.make_date(F.lit(known[0]), F.lit(1), F.lit(1))
-        last = F.make_date(F.lit(known[-1]), F.lit(12), F.lit(31))
-        test = F.col(column).between(first, last) & F.year(column).isin(known)
-    return test | F.col(column).isNull() if None in years else test
+    undated = F.col(column).isNull() if None in years else F.lit(False)
+    if not known:
+        return undated
+    first = F.make_date(F.lit(known[0]), F.lit(1), F.lit(1))
+    last = F.make_date(F.lit(known[-1]), F.lit(12), F.lit(31))
+    # The list lets NULL through in its own words: with IS NULL in both tests, the optimizer
+    # joins them into one that the scan cannot take.
+    listed = F.coalesce(F.year(column).isin(known), F.lit(None in years))
+    return (F.col(column).between(first, last) | undated) & listed
 
 
 def refresh_summary(

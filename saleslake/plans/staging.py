@@ -13,8 +13,8 @@ from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-
-STAGING_DATABASE = "saleslake_staging"
+#: Where staged results lie in the shared folder.
+STAGING = "saleslake/staging"
 
 
 @lru_cache(maxsize=8)
@@ -72,19 +72,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 def staged(
     df: DataFrame, purpose: str, partition_by: Sequence[str] = ()
 ) -> Iterator[DataFrame]:
-    """Write `df` once as a staging table and hand out a frame that reads it.
+    """Write `df` once as Parquet in the shared folder and hand out a frame that reads it.
 
-    The table is dropped when the block succeeds and left for recovery when it fails.
+    The files go when the block succeeds and are left for recovery when it fails, also
+    beyond the end of the application.
     """
     spark = df.sparkSession
-    spark.sql(
-        f"CREATE DATABASE IF NOT EXISTS {STAGING_DATABASE}"
-        f" LOCATION '{shared_folder(spark)}/saleslake/staging'"
-    )
-    table = f"{STAGING_DATABASE}.{purpose}_{uuid.uuid4().hex}"
-    writer = df.write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
-    yield spark.table(table)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    path = f"{shared_folder(spark)}/{STAGING}/{purpose}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -40,6 +40,7 @@ AUDIT = {
     "updated_by": STRING,
 }
 
+# The names and order of the columns of tables and files, here and below.
 _CUSTOMER = struct(
     customer_id=STRING,
     customer_name=STRING,
@@ -112,11 +113,16 @@ SUMMARY_KEYS = ("year", "product_category", "product_sub_category", "customer_na
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A managed table: its schema and its partition columns."""
+    """A managed table: its schema and its partition columns.
+
+    `by_year_of` names a date column by whose year appended rows are put into files, so that
+    a scan of some years can pass over files and row groups.
+    """
 
     name: str
     schema: StructType
     partition_by: tuple[str, ...] = ()
+    by_year_of: str | None = None
 
 
 TABLES = MappingProxyType(
@@ -128,7 +134,7 @@ TABLES = MappingProxyType(
             TableSpec("raw_orders", _RAW_ORDER),
             TableSpec("customers", _CUSTOMER),
             TableSpec("products", _PRODUCT),
-            TableSpec("transactions", _TRANSACTION),
+            TableSpec("transactions", _TRANSACTION, by_year_of="order_date"),
             TableSpec("sales_summary", _SUMMARY, ("year",)),
         )
     }

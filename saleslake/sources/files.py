@@ -15,13 +15,18 @@ from saleslake.sources.xlsx import read_xlsx
 def read_csv(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
     """CSV scan (S1): string columns named by the header, or the declared schema.
 
-    With both a schema and a header the names are compared, because Spark would
-    otherwise assign the file's columns to the schema by position.
+    Spark assigns columns by position. With a header it is therefore told to compare every
+    file's header with the schema, or with the first file's header when there is no schema:
+    files whose columns are in another order fail instead of filling the wrong columns.
     """
-    reader = spark.read.option("header", spec.header).option("multiLine", spec.multi_line)
-    if spec.schema is not None:
-        reader = reader.schema(spec.schema).option("enforceSchema", not spec.header)
-    return reader.options(**spec.options).csv(path)
+    options = {"header": spec.header, "multiLine": spec.multi_line, **spec.options}
+    schema = spec.schema
+    if schema is None and spec.header:
+        schema = spark.read.options(**options).csv(path).schema
+    reader = spark.read.options(**options)
+    if schema is not None:
+        reader = reader.schema(schema).option("enforceSchema", not spec.header)
+    return reader.csv(path)
 
 
 def read_json(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ holds at most `spark.sql.files.maxPartitionBytes` of workbooks or a single large
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -75,7 +76,48 @@ def _column(reference: str) -> int:
     return index - 1
 
 
-def _cell(node: ElementTree.Element, strings: list[str]) -> str | None:
+# The built-in number formats that are dates or times.
+_DATE_FORMATS = frozenset((*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)))
+
+
+def _date_styles(book: zipfile.ZipFile) -> set[int]:
+    """Numbers of the cell styles that show a number as a date or time."""
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    formats = set(_DATE_FORMATS)
+    for node in _elements(book, "xl/styles.xml", "numFmt"):
+        # quoted text, escaped characters and [colours] aside, date codes are these letters
+        code = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", node.get("formatCode", ""))
+        if re.search("[dmyhs]", code, re.IGNORECASE):
+            formats.add(int(node.get("numFmtId")))
+    styles = next(_elements(book, "xl/styles.xml", "cellXfs"), ())
+    return {at for at, style in enumerate(styles) if int(style.get("numFmtId", 0)) in formats}
+
+
+def _first_day(book: zipfile.ZipFile) -> dt.datetime:
+    """The day that serial number 0 stands for."""
+    for node in _elements(book, "xl/workbook.xml", "workbookPr"):
+        if node.get("date1904") in ("1", "true"):
+            return dt.datetime(1904, 1, 1)
+    # 1900 counts as a leap year in this format, so day 60 is missing and earlier ones are off
+    return dt.datetime(1899, 12, 30)
+
+
+def _date_text(serial: str, first_day: dt.datetime) -> str:
+    """ISO text of a day number, with the time of day if there is one."""
+    days = Decimal(serial)
+    if first_day.year == 1899 and days < 60:
+        days += 1
+    try:
+        moment = first_day + dt.timedelta(seconds=round(days * 86_400))
+    except OverflowError:
+        return serial
+    return moment.date().isoformat() if days == int(days) else moment.isoformat(" ")
+
+
+def _cell(
+    node: ElementTree.Element, strings: list[str], dates: set[int], first_day: dt.datetime
+) -> str | None:
     kind = node.get("t", "n")
     if kind == "inlineStr":
         return next((_text(child) for child in node if _local(child.tag) == "is"), None)
@@ -86,23 +128,29 @@ def _cell(node: ElementTree.Element, strings: list[str]) -> str | None:
         return strings[int(raw)]
     if kind == "b":
         return "true" if raw == "1" else "false"
+    if kind == "n" and int(node.get("s", -1)) in dates:
+        return _date_text(raw, first_day)
     if kind == "n" and "E" in raw.upper():
         return f"{Decimal(raw):f}"
     return raw
 
 
 def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
-    """Cell texts of the first sheet, row by row, gaps as None."""
+    """Cell texts of the first sheet, row by row, gaps as None.
+
+    Numbers in a date style become ISO dates, with the time if it is not midnight.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         strings = []
         if "xl/sharedStrings.xml" in book.namelist():
             strings = [_text(node) for node in _elements(book, "xl/sharedStrings.xml", "si")]
+        dates, first_day = _date_styles(book), _first_day(book)
         for row in _elements(book, _first_sheet(book), "row"):
             cells: list[str | None] = []
             for node in row:
                 at = _column(node.get("r")) if node.get("r") else len(cells)
                 cells.extend([None] * (at + 1 - len(cells)))
-                cells[at] = _cell(node, strings)
+                cells[at] = _cell(node, strings, dates, first_day)
             yield cells
 
 
@@ -115,6 +163,8 @@ def _workbook_batches(
     if header:
         found = {standard_name(cell or ""): at for at, cell in enumerate(next(rows, []))}
         positions = [found.get(standard_name(name), -1) for name in names]
+        if max(positions) < 0:
+            raise ValueError(f"no header cell of the workbook is one of: {', '.join(names)}")
     columns: list[list[str | None]] = [[] for _ in names]
     for row in rows:
         if all(cell is None for cell in row):
@@ -132,8 +182,8 @@ def decode_workbooks(books: DataFrame, schema: StructType, header: bool = True)
     """Rows of the workbooks in the binary column `content`, typed by `schema`.
 
     Header cells are matched to the schema by standardized name, so column order may
-    differ between workbooks; a column a workbook lacks is NULL. Cells that do not fit
-    the declared type become NULL.
+    differ between workbooks; a column a workbook lacks is NULL, and a workbook without any
+    of them fails. Cells that do not fit the declared type become NULL.
     """
     ship_package(books.sparkSession)
     names = schema.names
@@ -152,13 +202,17 @@ def decode_workbooks(books: DataFrame, schema: StructType, header: bool = True)
 
 
 def read_xlsx(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
-    """Scan a workbook, or every `.xlsx` below a folder."""
+    """Scan a workbook of any name, or every `.xlsx` and `.xlsm` of a folder.
+
+    Suffixes are compared without regard to case. A glob or folder without a workbook has no
+    rows; a named file is read whatever it is called, and fails if it is no workbook.
+    """
     if spec.schema is None:
         raise ValueError(f"source '{spec.name}' needs a schema")
-    books = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.{xlsx,XLSX}")
-        .options(**spec.options)
-        .load(path)
-    )
+    reader = spark.read.format("binaryFile").options(**spec.options)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not (files.exists(folder) and files.getFileStatus(folder).isFile()):
+        reader = reader.option("pathGlobFilter", "*.[xX][lL][sS][xXmM]")
+    books = reader.load(path)
     return decode_workbooks(books, spec.schema, spec.header)

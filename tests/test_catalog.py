@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from saleslake.plans import catalog, staging
 from saleslake.schemas import SUMMARY_KEYS, TABLES
@@ -169,24 +170,46 @@ def test_partition_filters_prune(spark, database):
     assert "PartitionFilters: [((year" in plan.executedPlan().toString()
 
 
+def _staged_folders(spark):
+    return set(Path(staging.shared_folder(spark), staging.STAGING).glob("*"))
+
+
 def test_staging_is_in_the_shared_folder_and_removed(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
+    before = _staged_folders(spark)
     assert staging.shared_folder(spark) == shared
     assert staging.new_folder(spark, "x").startswith(shared + "/")
     df = spark.createDataFrame([(1, None), (2, "b")], "a int, b string")
     with staging.staged(df, "rows", ["a"]) as rows:
         assert sorted(rows.select("a", "b").collect()) == sorted(df.collect())
-        assert rows.inputFiles()[0].startswith(f"file://{shared}/saleslake/staging/rows_")
-    assert catalog.list_tables(spark, staging.STAGING_DATABASE) == []
+        assert rows.inputFiles()[0].startswith(f"file://{shared}/saleslake/staging/rows-")
+    assert _staged_folders(spark) == before
 
 
 def test_staging_survives_a_failure(spark):
+    before = _staged_folders(spark)
     with pytest.raises(KeyError), staging.staged(spark.range(3), "kept"):
         raise KeyError
-    (left,) = catalog.list_tables(spark, staging.STAGING_DATABASE)
-    assert left.startswith("kept_")
-    assert catalog.table(spark, left, staging.STAGING_DATABASE).count() == 3
-    spark.sql(f"DROP TABLE {staging.STAGING_DATABASE}.{left}")
+    (left,) = _staged_folders(spark) - before
+    assert left.name.startswith("kept-")
+    assert spark.read.parquet(str(left)).count() == 3
+
+
+def test_files_of_transactions_hold_few_years(spark, database, tmp_path, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+         spark__sql__shuffle__partitions="16")
+    rows = spark.range(24_000, numPartitions=6).selectExpr(
+        "cast(id AS int) AS row_id", "sha2(cast(id AS string), 256) AS order_id",
+        "make_date(cast(2000 + id % 8 AS int), 1 + cast(id % 12 AS int), 1) AS order_date",
+    )
+    catalog.append(rows, "transactions", database)
+    stored = catalog.table(spark, "transactions", database)
+    assert stored.count() == 24_000
+    years = stored.groupBy(F.input_file_name().alias("file")).agg(
+        F.count_distinct(F.year("order_date")).alias("n"), F.max(F.year("order_date")).alias("y")
+    ).collect()
+    assert len(years) > 4
+    assert max(row.n for row in years) <= 4
 
 
 def test_shared_folder_is_required_on_a_cluster(spark):

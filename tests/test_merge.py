@@ -10,7 +10,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from saleslake.operators.merge import merge_upsert, tag_merge
-from saleslake.operators.summary import summarize
 
 KEYS = ("year", "name")
 SCHEMA = "year int, name string, total decimal(20,2), note string"
@@ -106,29 +105,6 @@ def test_further_columns_are_set_on_request(spark):
     }
 
 
-@pytest.mark.parametrize("null_safe", [False, True])
-def test_source_is_computed_once(spark, conf, tmp_path, null_safe):
-    # Spark shortens paths in plans unless told otherwise, and a temporary folder's may be long
-    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__maxMetadataStringLength="5000")
-    sales = str(tmp_path / "sales")
-    spark.range(500).selectExpr(
-        "date_add(date'2015-01-01', cast(id AS int)) AS order_date", "'c' AS product_category",
-        "'s' AS product_sub_category", "concat('n', id % 9) AS customer_name",
-        "cast(id AS decimal(10,2)) AS profit",
-    ).write.parquet(sales)
-    source = summarize(spark.read.parquet(sales))
-    stored = str(tmp_path / "summary")
-    source.filter("year = 2015").write.parquet(stored)
-    merged = tag_merge(
-        spark.read.parquet(stored), source,
-        ("year", "product_category", "product_sub_category", "customer_name"), "total_profit",
-        null_safe=null_safe,
-    )
-    plan = final_plan(merged)
-    assert plan.count("ReusedExchange") == 1
-    assert plan.count(f"file:{sales}") == 1
-
-
 def test_hot_target_key_is_split(spark, conf):
     """Copies of one target key are updated by several tasks, and none is lost."""
     conf(
@@ -149,16 +125,52 @@ def test_hot_target_key_is_split(spark, conf):
     assert counts == {"updated": 40_000, "kept": 20_000, "inserted": 1}
 
 
-def test_small_source_does_not_shuffle_the_target_rows(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(1000).selectExpr(
+def _stored_pair(spark, folder, rows_in_source):
+    spark.range(2000).selectExpr(
         "2015 AS year", "concat('n', id) AS name", "cast(0 AS decimal(20,2)) AS total",
         "'x' AS note",
-    ).write.parquet(path)
-    source = spark.createDataFrame([(2015, "n1", Decimal(9))], SOURCE)
-    merged = tag_merge(spark.read.parquet(path), source, KEYS, "total")
-    plan = final_plan(merged)
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    ).write.parquet(f"{folder}/target")
+    spark.range(rows_in_source).selectExpr(
+        "2015 AS year", "concat('n', id * 3) AS name", "cast(9 AS decimal(20,2)) AS total",
+    ).write.parquet(f"{folder}/source")
+    return spark.read.parquet(f"{folder}/target"), spark.read.parquet(f"{folder}/source")
+
+
+def _exchanges_above_target(merged):
+    """For each scan of the target, the exchanges between it and its first join."""
+    found = []
+
+    def walk(node, above):
+        name = node.nodeName()
+        if name.startswith("Scan"):
+            if node.relation().location().rootPaths().mkString(",").endswith("/target"):
+                found.append(above)
+            return
+        above = 0 if "Join" in name else above + (name == "Exchange")
+        children = node.children()
+        for at in range(children.size()):
+            walk(children.apply(at), above)
+
+    walk(merged._jdf.queryExecution().executedPlan(), 0)
+    return found
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_small_stored_batch_moves_no_target_row(spark, conf, tmp_path, null_safe):
+    conf(spark__sql__adaptive__enabled="false")
+    target, source = _stored_pair(spark, tmp_path, 5)
+    merged = tag_merge(target, source, KEYS, "total", null_safe=null_safe)
+    assert _exchanges_above_target(merged) == [0, 0]
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_large_batch_shuffles_rows_once_and_keys_once(spark, conf, tmp_path, null_safe):
+    conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    target, source = _stored_pair(spark, tmp_path, 900)
+    merged = tag_merge(target, source, KEYS, "total", null_safe=null_safe)
+    assert _exchanges_above_target(merged) == [1, 1]
+    counts = {r.merge_action: r["count"] for r in merged.groupBy("merge_action").count().collect()}
+    assert counts == {"updated": 667, "kept": 1333, "inserted": 233}
 
 
 def test_day_values_keep_their_type(spark):

@@ -3,6 +3,9 @@ from __future__ import annotations
 import datetime as dt
 import json
 from decimal import Decimal
+from pathlib import Path
+
+import pytest
 
 from saleslake.plans import catalog, staging
 from saleslake.plans.pipeline import (
@@ -18,7 +21,8 @@ from saleslake.queries.workbooks import workbook_bytes
 from saleslake.schemas import CUSTOMER_FILE_SCHEMA, ORDER_FILE_SCHEMA
 
 DAY = dt.date(2020, 1, 1)
-CHAIR, PAPER = "FUR-CH-10000988", "OFF-SU-10000454"
+KNOWN, OTHER = "QX-40417", "QX-40418"
+CHAIR, PAPER = "SEA-TK-73310052", "INK-PD-61200847"
 
 
 def _order(row_id, customer, product, date, profit):
@@ -41,20 +45,20 @@ def _files(folder, customers, products, orders) -> SalesFiles:
     return SalesFiles(*(str(folder / n) for n in ("Customer.xlsx", "Product.csv", "Order.json")))
 
 
-CUSTOMERS = [_customer("BD-11320", "Ann-1"), _customer("BD-11321", "Bob"), _customer("BAD", "X")]
+CUSTOMERS = [_customer(KNOWN, "Ann-1"), _customer(OTHER, "Bob"), _customer("BAD", "X")]
 PRODUCTS = [f"{CHAIR},Furniture,Chairs,Chair é,S,10.50", f"{PAPER},Office,Paper,Paper,S,oops",
             "BAD,Office,Paper,Paper,S,1"]
 
 
 def _first_batch(folder):
     return _files(folder, CUSTOMERS, PRODUCTS, [
-        _order(1, "BD-11320", CHAIR, "31/10/2016", -14.081),
-        _order(2, "BD-11320", CHAIR, "01/01/2016", 20),
-        _order(3, "BD-11321", PAPER, "01/01/2017", 3),
-        _order(4, "BD-11321", PAPER, "6/11/2016", 4),
+        _order(1, KNOWN, CHAIR, "31/10/2016", -6.4449),
+        _order(2, KNOWN, CHAIR, "01/01/2016", 20),
+        _order(3, OTHER, PAPER, "01/01/2017", 3),
+        _order(4, OTHER, PAPER, "6/11/2016", 4),
         _order(5, "BAD", PAPER, "01/01/2017", 100),
-        _order(6, "BD-99999", PAPER, "01/01/2017", 100),
-        _order(7, "BD-11321", "BAD", "01/01/2017", 100),
+        _order(6, "QX-99999", PAPER, "01/01/2017", 100),
+        _order(7, OTHER, "BAD", "01/01/2017", 100),
     ])
 
 
@@ -67,7 +71,7 @@ def _summary(spark, database):
 
 
 FIRST = {
-    (2016, "Furniture", "Chairs", "Ann", Decimal("5.92")),
+    (2016, "Furniture", "Chairs", "Ann", Decimal("13.56")),
     (2017, "Office", "Paper", "Bob", Decimal("3.00")),
     (None, "Office", "Paper", "Bob", Decimal("4.00")),
 }
@@ -85,11 +89,11 @@ def test_one_batch(spark, database, tmp_path):
     assert list(out) == ["profit_by_year", "profit_by_year_category", "profit_by_customer",
                          "profit_by_customer_year"]
     assert [tuple(row) for row in out["profit_by_year"].collect()] == [
-        (None, Decimal("4.00")), (2016, Decimal("5.92")), (2017, Decimal("3.00"))
+        (None, Decimal("4.00")), (2016, Decimal("13.56")), (2017, Decimal("3.00"))
     ]
     first = catalog.table(spark, "transactions", database).filter("row_id = 1").first()
     assert (first.order_date, first.price, first.profit, first.country) == (
-        dt.date(2016, 10, 31), Decimal("10.50"), Decimal("-14.08"), "Spain"
+        dt.date(2016, 10, 31), Decimal("10.50"), Decimal("-6.44"), "Spain"
     )
     assert (first.created_dt, first.updated_by) == (dt.datetime(2020, 1, 1), "system_user")
     products = {r.product_id: r for r in catalog.table(spark, "products", database).collect()}
@@ -97,19 +101,20 @@ def test_one_batch(spark, database, tmp_path):
     assert products[PAPER].price_per_product is None
     raw = catalog.table(spark, "raw_orders", database).filter("row_id = 4").first()
     assert (raw.order_date, raw.created_by) == ("6/11/2016", "system_user")
-    assert catalog.list_tables(spark, staging.STAGING_DATABASE) == []
+    left = Path(staging.shared_folder(spark), staging.STAGING).glob("raw_*")
+    assert list(left) == []
 
 
 def test_next_batch_adds_to_stored_totals(spark, database, tmp_path):
     run_pipeline(spark, _first_batch(tmp_path / "in"), database, as_of=DAY)
     more = _files(tmp_path / "more", CUSTOMERS, PRODUCTS, [
-        _order(8, "BD-11320", CHAIR, "05/05/2016", 1),
-        _order(9, "BD-11321", CHAIR, "05/05/2018", 2),
-        _order(10, "BD-11321", PAPER, "no date", 10),
+        _order(8, KNOWN, CHAIR, "05/05/2016", 1),
+        _order(9, OTHER, CHAIR, "05/05/2018", 2),
+        _order(10, OTHER, PAPER, "no date", 10),
     ])
     run_pipeline(spark, more, database, as_of=DAY)
     assert _summary(spark, database) == {
-        (2016, "Furniture", "Chairs", "Ann", Decimal("6.92")),
+        (2016, "Furniture", "Chairs", "Ann", Decimal("14.56")),
         (2017, "Office", "Paper", "Bob", Decimal("3.00")),
         (2018, "Furniture", "Chairs", "Bob", Decimal("2.00")),
         (None, "Office", "Paper", "Bob", Decimal("14.00")),
@@ -136,7 +141,7 @@ def test_reports_read_the_stored_summary(spark, database, tmp_path):
     run_pipeline(spark, _first_batch(tmp_path / "in"), database, as_of=DAY)
     by_customer = reports(spark, database)["profit_by_customer"]
     assert [tuple(row) for row in by_customer.collect()] == [
-        ("Ann", Decimal("5.92")), ("Bob", Decimal("7.00"))
+        ("Ann", Decimal("13.56")), ("Bob", Decimal("7.00"))
     ]
     plan = by_customer._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<customer_name:string,total_profit:decimal(20,2)>" in plan
@@ -147,7 +152,63 @@ def test_year_filter_reaches_the_scan(spark, database):
         _in_years("order_date", [2016, None])
     )
     plan = scan._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [Or(And(GreaterThanOrEqual(order_date,2016-01-01)" in plan
+    assert "GreaterThanOrEqual(order_date,2016-01-01)" in plan
+    assert "LessThanOrEqual(order_date,2016-12-31)" in plan
+
+
+def test_any_parsed_date_is_loaded(spark, database, tmp_path):
+    files = _files(tmp_path / "in", CUSTOMERS, PRODUCTS, [
+        _order(1, KNOWN, CHAIR, "01/01/0000", 1),
+        _order(2, KNOWN, CHAIR, "31/12/9999", 2),
+        _order(3, KNOWN, CHAIR, "29/02/2016", 3),
+        *(_order(year, KNOWN, CHAIR, f"01/06/{year}", 1) for year in range(1990, 2020)),
+    ])
+    run_pipeline(spark, files, database, as_of=DAY)
+    totals = {row[0]: row[4] for row in _summary(spark, database)}
+    assert len(totals) == 32
+    assert (totals[0], totals[9999], totals[2016]) == (Decimal(1), Decimal(2), Decimal(4))
+
+
+def test_any_number_of_years(spark):
+    days = spark.range(1000, 5000).selectExpr("make_date(cast(id AS int), 12, 31) AS d")
+    found = days.filter(_in_years("d", range(0, 6000, 2)))
+    assert found.count() == 2000
+    assert days.filter(_in_years("d", [None])).count() == 0
+    assert days.filter(_in_years("d", [])).count() == 0
+    undated = spark.sql("SELECT cast(NULL AS date) AS d").unionByName(days)
+    assert undated.filter(_in_years("d", [1000, None])).count() == 2
+    assert undated.filter(_in_years("d", [1000])).count() == 1
+
+
+@pytest.mark.parametrize("failing", ["raw_customers", "products", "transactions"])
+def test_failed_batch_can_be_run_again(spark, database, tmp_path, monkeypatch, failing):
+    files, append = _first_batch(tmp_path / "in"), catalog.append
+
+    def broken(df, name, *rest):
+        if name == failing:
+            raise OSError("lost")
+        append(df, name, *rest)
+
+    monkeypatch.setattr(catalog, "append", broken)
+    with pytest.raises(OSError, match="lost"):
+        run_pipeline(spark, files, database, as_of=DAY, batch="first")
+    monkeypatch.setattr(catalog, "append", append)
+    for _ in range(2):
+        run_pipeline(spark, files, database, as_of=DAY, batch="first")
+        assert _summary(spark, database) == FIRST
+        assert catalog.table(spark, "raw_orders", database).count() == 7
+        assert catalog.table(spark, "customers", database).count() == 2
+    run_pipeline(spark, files, database, as_of=DAY, batch="second")
+    assert catalog.table(spark, "transactions", database).count() == 8
+
+
+def test_orders_of_earlier_customers_drop(spark, database, tmp_path):
+    run_pipeline(spark, _first_batch(tmp_path / "in"), database, as_of=DAY)
+    more = _files(tmp_path / "more", CUSTOMERS[1:], PRODUCTS, [
+        _order(8, KNOWN, CHAIR, "05/05/2016", 1)
+    ])
+    run_pipeline(spark, more, database, as_of=DAY)
+    assert _summary(spark, database) == FIRST
 
 
 def test_ingest_stamps_and_renames(spark, tmp_path):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import io
 import zipfile
 from decimal import Decimal
@@ -8,17 +9,17 @@ import pytest
 
 from saleslake.queries.workbooks import workbook_bytes, write_workbooks
 from saleslake.schemas import CUSTOMER_FILE_SCHEMA, SOURCES, SourceSpec, struct
-from saleslake.schemas import INT, MONEY, STRING
+from saleslake.schemas import DATE, INT, MONEY, STRING
 from saleslake.sources import read_source
 from saleslake.sources.files import source_for
 
 
 def test_csv_is_text_named_by_its_header(spark, tmp_path):
     path = tmp_path / "Product.csv"
-    path.write_text('Product ID,Price per product\nFUR-CH-10000988,12.50\nX,"1,000"\n')
+    path.write_text('Product ID,Price per product\nSEA-TK-73310052,12.50\nX,"1,000"\n')
     df = read_source(spark, "Product.csv", str(path))
     assert df.dtypes == [("Product ID", "string"), ("Price per product", "string")]
-    assert [tuple(r) for r in df.collect()] == [("FUR-CH-10000988", "12.50"), ("X", "1,000")]
+    assert [tuple(r) for r in df.collect()] == [("SEA-TK-73310052", "12.50"), ("X", "1,000")]
 
 
 def test_csv_with_schema_checks_the_header(spark, tmp_path):
@@ -31,6 +32,16 @@ def test_csv_with_schema_checks_the_header(spark, tmp_path):
         read_source(spark, swapped, str(path)).collect()
 
 
+def test_csv_folder_with_another_column_order_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Product ID,Category\nP1,C1\n")
+    (tmp_path / "b.csv").write_text("Product ID,Category\nP2,C2\n")
+    rows = read_source(spark, "Product.csv", str(tmp_path)).collect()
+    assert sorted(map(tuple, rows)) == [("P1", "C1"), ("P2", "C2")]
+    (tmp_path / "b.csv").write_text("Category,Product ID\nC2,P2\n")
+    with pytest.raises(Exception, match="header"):
+        read_source(spark, "Product.csv", str(tmp_path)).collect()
+
+
 def test_csv_without_header(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text("1,2\n")
@@ -41,11 +52,11 @@ def test_csv_without_header(spark, tmp_path):
 def test_json_types(spark, tmp_path):
     path = tmp_path / "Order.json"
     path.write_text(
-        '{"Row ID": 1, "Order ID": "a", "Price": 492.835, "Profit": -14.081, "Other": 1}\n'
+        '{"Row ID": 1, "Order ID": "a", "Price": 60.125, "Profit": -6.4449, "Other": 1}\n'
         '{"Row ID": 2, "Order ID": "b", "Price": 123456789012.0, "Discount": 0.3}\n'
     )
     one, two = read_source(spark, "Order.json", str(path)).orderBy("Row ID").collect()
-    assert (one["Price"], one["Profit"]) == (Decimal("492.84"), Decimal("-14.08"))
+    assert (one["Price"], one["Profit"]) == (Decimal("60.13"), Decimal("-6.44"))
     assert "Other" not in one.asDict()
     assert (two["Price"], two["Discount"]) == (None, Decimal("0.30"))
 
@@ -82,7 +93,7 @@ def test_registry():
     assert (other.name, other.schema) == ("Order_2017.json", SOURCES["Order.json"].schema)
 
 
-def _workbook(path, sheet: str, strings: str = "", sheets: str = "") -> None:
+def _workbook(path, sheet: str, strings: str = "", styles: str = "", book_pr: str = "") -> None:
     """A workbook as spreadsheet programs write it: sheet order by relationship."""
     out = io.BytesIO()
     main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -90,7 +101,7 @@ def _workbook(path, sheet: str, strings: str = "", sheets: str = "") -> None:
     with zipfile.ZipFile(out, "w") as book:
         book.writestr(
             "xl/workbook.xml",
-            f'<workbook {main} {rel}><sheets><sheet name="Data" sheetId="7" r:id="rId9"/>'
+            f'<workbook {main} {rel}>{book_pr}<sheets><sheet name="Data" sheetId="7" r:id="rId9"/>'
             '<sheet name="Notes" sheetId="1" r:id="rId1"/></sheets></workbook>',
         )
         book.writestr(
@@ -106,9 +117,48 @@ def _workbook(path, sheet: str, strings: str = "", sheets: str = "") -> None:
         )
         if strings:
             book.writestr("xl/sharedStrings.xml", f"<sst {main}>{strings}</sst>")
+        if styles:
+            book.writestr("xl/styles.xml", f"<styleSheet {main}>{styles}</styleSheet>")
     path.write_bytes(out.getvalue())
 
 
+@pytest.mark.parametrize(
+    ("book_pr", "days"),
+    [("", [dt.date(2016, 10, 31), dt.date(1900, 1, 1), dt.date(1900, 3, 1)]),
+     ('<workbookPr date1904="1"/>', [dt.date(2020, 11, 1), dt.date(1904, 1, 2),
+                                     dt.date(1904, 3, 2)])],
+)
+def test_xlsx_dates(spark, tmp_path, book_pr, days):
+    cells = "".join(
+        f'<row><c r="A{at}" s="{style}"><v>{number}</v></c><c r="B{at}" s="0"><v>{number}</v></c>'
+        "</row>" for at, style, number in ((2, 1, 42674), (3, 2, 1), (4, 3, 61))
+    )
+    _workbook(
+        tmp_path / "d.Xlsx",
+        '<row><c r="A1" t="str"><v>Day</v></c><c r="B1" t="str"><v>N</v></c></row>' + cells,
+        styles='<numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm"/>'
+        '<numFmt numFmtId="165" formatCode="[Red]0.0&quot;days&quot;"/></numFmts>'
+        '<cellXfs><xf numFmtId="165"/><xf numFmtId="14"/><xf numFmtId="164"/>'
+        '<xf numFmtId="22"/></cellXfs>',
+        book_pr=book_pr,
+    )
+    spec = SourceSpec("d.xlsx", "xlsx", "t", struct(day=DATE, n=INT))
+    for path in (tmp_path, tmp_path / "d.Xlsx"):
+        rows = read_source(spark, spec, str(path)).collect()
+        assert [tuple(r) for r in rows] == list(zip(days, (42674, 1, 61), strict=True))
+
+
+def test_xlsx_of_any_name_and_without_known_columns(spark, tmp_path):
+    for name in ("a.xlsm", "b.XLSX", "noname"):
+        (tmp_path / name).write_bytes(workbook_bytes(["n"], [(1,)]))
+    spec = SourceSpec("a.xlsx", "xlsx", "t", struct(n=INT))
+    assert read_source(spark, spec, str(tmp_path)).count() == 2
+    assert read_source(spark, spec, str(tmp_path / "noname")).collect() == [(1,)]
+    other = SourceSpec("a.xlsx", "xlsx", "t", struct(m=INT))
+    with pytest.raises(Exception, match="no header cell"):
+        read_source(spark, other, str(tmp_path)).collect()
+
+
 def test_xlsx_cells(spark, tmp_path):
     _workbook(
         tmp_path / "Customer.xlsx",
@@ -121,7 +171,7 @@ def test_xlsx_cells(spark, tmp_path):
         '<row r="4"><c r="B4" t="str"><f>1+1</f><v>2</v></c><c r="C4"><v>1.23456789E9</v></c>'
         '<c r="AA4" t="b"><v>0</v></c></row>',
         "<si><t>Customer ID</t></si><si><t>Postal Code</t></si>"
-        "<si><r><t>BD-</t></r><r><rPr/><t>11320</t></r><rPh><t>no</t></rPh></si>"
+        "<si><r><t>QX-</t></r><r><rPr/><t>40417</t></r><rPh><t>no</t></rPh></si>"
         "<si><t> region </t></si>",
     )
     df = read_source(spark, "Customer.xlsx", str(tmp_path / "Customer.xlsx"))
@@ -129,7 +179,7 @@ def test_xlsx_cells(spark, tmp_path):
     rows = df.select("Customer ID", "Postal Code", "Phone", "Region", "City").collect()
     assert sorted(map(tuple, rows), key=str) == sorted(
         [
-            ("BD-11320", "12345", "#ERROR!", "true", None),
+            ("QX-40417", "12345", "#ERROR!", "true", None),
             (None, "2", "1234567890", "false", None),
         ],
         key=str,
