@@ -123,6 +123,51 @@ def queries() -> dict[str, Query]:
     }
 
 
+# A line's edge blanks: tab to CR and the space.
+_BARE = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+_LINE_DEDUP = f"""WITH lines AS (
+  SELECT doc_id, source, place, line, {_BARE} AS bare
+  FROM (SELECT doc_id, source, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+    FROM (SELECT doc_id, source, string_split(text, chr(10)) AS parts
+      FROM documents WHERE text IS NOT NULL) d) l),
+pages AS (SELECT source, COUNT(*) AS pages FROM documents GROUP BY source),
+frequent AS (
+  SELECT l.source, l.bare
+  FROM (SELECT source, bare, COUNT(DISTINCT doc_id) AS n FROM lines WHERE bare <> ''
+      GROUP BY source, bare) l
+    JOIN pages p ON l.source IS NOT DISTINCT FROM p.source
+  WHERE n > 1 AND pages >= 20 AND 10 * n > pages),
+judged AS (
+  SELECT l.*, f.bare IS NOT NULL AS dropped
+  FROM lines l LEFT JOIN frequent f
+    ON l.source IS NOT DISTINCT FROM f.source AND l.bare = f.bare),
+texts AS (
+  SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE dropped) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '') AS text
+  FROM judged GROUP BY doc_id)
+SELECT d.doc_id, d.source, t.text, coalesce(t.n_lines, 0) AS n_lines,
+  coalesce(t.n_dropped, 0) AS n_dropped
+FROM documents d LEFT JOIN texts t ON d.doc_id = t.doc_id"""
+
+
+def _top_k_sql(vector: str = "embedding") -> str:
+    """Every pair of a query and another row, scored, and the five best of each query."""
+    return f"""WITH whole AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN {vector}] AS v
+  FROM embeddings
+  WHERE {vector} IS NOT NULL
+    AND len([1 FOR x IN {vector} IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can express."""
-    return {}
+    return {"op2_line_dedup": _LINE_DEDUP, "op7_top_k_search": _top_k_sql()}

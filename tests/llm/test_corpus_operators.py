@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
 import corpus_pipeline
+from check_oracle import compare, duck
 from saleslake.llm import html_extract, ngram_join, packing, shingles, top_k, warc
 from saleslake.llm.html_pages import labelled_pages
 from saleslake.llm.html_tree import parse
@@ -328,3 +329,8 @@ def test_pipeline_takes_odd_rows(spark):
 def test_queries_return_rows(spark, name):
     (query,) = [q for k, q in driver.queries().items() if k.startswith(name + "_")]
     assert query(spark, SF_DIR).count() > 0
+
+
+@pytest.mark.parametrize("name", ["op2_line_dedup", "op7_top_k_search"])
+def test_same_as_sql(spark, name):
+    assert compare(spark, duck(SF_DIR), name, SF_DIR) == ""
