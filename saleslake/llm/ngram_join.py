@@ -9,8 +9,8 @@ bounds on sizes and positions, before its sets are compared in full.
 The work runs in two rounds, so that a large group of near copies never becomes all its
 pairs:
 
-1. Each text is paired with one hub (the smallest id) for each of its few first tokens.
-   The pairs that hold connect most members of a group.
+1. Each text is paired with one hub (the smallest id) for its first token under each of a
+   few orders that ignore frequency. The pairs that hold connect most members of a group.
 2. All prefix tokens are gathered. A token whose texts are already connected yields
    nothing; only pairs across components are made, so no link between components is
    missed. A pair must share as many prefix tokens as its sizes call for. Tokens that the
@@ -36,7 +36,7 @@ from saleslake.plans.staging import stored
 from saleslake.session import ship_package
 
 ORDERS = 3
-LEADS = 4
+LEADS = 6
 _BUCKETS = 1 << 16
 _PAIRS = 50_000
 _LEVEL = np.uint64(56)
@@ -141,11 +141,13 @@ def _tokens_of(
     yield _arrays(ids, sizes, chosen)
 
 
-def _leads(tokens: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
-    """The first few tokens under every order."""
-    return np.concatenate(
-        [prefix(tokens, levels, order, percent)[:LEADS] for order in range(ORDERS)]
-    )
+def _leads(tokens: np.ndarray) -> np.ndarray:
+    """The first token under each of several orders that rank all tokens alike.
+
+    Two texts share such a token with a chance that equals their similarity. Rare tokens
+    would not do here, as those of a near copy are mostly its own.
+    """
+    return np.unique([tokens[np.argmin(mix(tokens, 200 + order))] for order in range(LEADS)])
 
 
 def _verify_batch(
@@ -326,10 +328,10 @@ def similar_components(
     )
     reps = classes.select(F.col("rep").alias("id")).distinct()
 
-    # Round 1: hubs of the first tokens.
+    # Round 1: hubs of first tokens.
     leads = map_batches(
         texts.filter("id IS NOT NULL"),
-        partial(_tokens_of, words=words, choose=partial(_leads, levels=levels, percent=percent)),
+        partial(_tokens_of, words=words, choose=_leads),
         "id long, size long, tokens array<long>",
     )
     leads = stored(
