@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from saleslake.llm.html_extract import extract
 from saleslake.llm.line_dedup import drop_boilerplate
+from saleslake.llm.near_vectors import near_duplicates
 from saleslake.llm.ngram_join import similar_components
 from saleslake.llm.packing import pack
 from saleslake.llm.quality import judge
@@ -106,6 +107,11 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of vectors of one label with a cosine of 0.98 or more."""
+    return near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def queries() -> dict[str, Query]:
     """All queries by name."""
     return {
@@ -119,6 +125,7 @@ def queries() -> dict[str, Query]:
         "op8_warc": op8_warc,
         "op9_html_extraction": op9_html_extraction,
         "op10_url_filters": op10_url_filters,
+        "op13_embedding_near_dedup": op13_embedding_near_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -168,6 +175,32 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
 
+# Every pair of a label, and all that can be reached from each vector.
+_NEAR_VECTORS = """WITH RECURSIVE whole AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([1 FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM whole a JOIN whole b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM whole
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+counts AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a),
+lowest AS (SELECT a, MIN(b) AS low FROM reached GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(low, vec_id) AS component_id,
+  coalesce(vec_id = coalesce(low, vec_id), FALSE) AS kept
+FROM embeddings LEFT JOIN counts c ON vec_id = c.a LEFT JOIN lowest l ON vec_id = l.a"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can express."""
-    return {"op2_line_dedup": _LINE_DEDUP, "op7_top_k_search": _top_k_sql()}
+    return {
+        "op2_line_dedup": _LINE_DEDUP,
+        "op7_top_k_search": _top_k_sql(),
+        "op13_embedding_near_dedup": _NEAR_VECTORS,
+    }
