@@ -36,7 +36,7 @@ END = 1
 _SPECIAL = "<|endoftext|>"
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The byte that each letter of a byte-level vocabulary stands for.
 
     Printable bytes are themselves; the others follow from code point 256 on, in order.
@@ -47,7 +47,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 @lru_cache(maxsize=2)
-def _encoders(path: str):
+def encoders(path: str):
     """The tokenizer of a file, and a faster encoder of the same vocabulary if it is one.
 
     A byte-level vocabulary whose ids follow its merges is a ranking by id, which `tiktoken`
@@ -60,7 +60,7 @@ def _encoders(path: str):
     slow = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as file:
         model = json.load(file)["model"]
-    letters = _byte_letters()
+    letters = byte_letters()
     ranks = {
         bytes(letters[c] for c in piece): at
         for piece, at in model["vocab"].items() if piece != _SPECIAL
@@ -79,7 +79,7 @@ def _encoders(path: str):
 
 def encode(text: str, path: str) -> np.ndarray:
     """Ids of a text, and the end id."""
-    slow, fast = _encoders(path)
+    slow, fast = encoders(path)
     if fast is None or _SPECIAL in text:
         ids = slow.encode(text, add_special_tokens=False).ids
     else:

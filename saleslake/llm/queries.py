@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from saleslake.llm.conversation_trie import prefix_trie
 from saleslake.llm.html_extract import extract
 from saleslake.llm.line_dedup import drop_boilerplate
 from saleslake.llm.near_vectors import near_duplicates
@@ -17,6 +18,7 @@ from saleslake.llm.packing import pack
 from saleslake.llm.quality import judge
 from saleslake.llm.secret_scan import scan
 from saleslake.llm.sentencepiece_codec import digests
+from saleslake.llm.token_align import align_tokens
 from saleslake.llm.top_k import top_k
 from saleslake.llm.url_filter import filter_urls
 from saleslake.llm.warc import archive_pages
@@ -107,6 +109,19 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of all documents' tokens under two tokenizers."""
+    return align_tokens(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations."""
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of vectors of one label with a cosine of 0.98 or more."""
     return near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
@@ -125,6 +140,8 @@ def queries() -> dict[str, Query]:
         "op8_warc": op8_warc,
         "op9_html_extraction": op9_html_extraction,
         "op10_url_filters": op10_url_filters,
+        "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+        "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
         "op13_embedding_near_dedup": op13_embedding_near_dedup,
         "pipeline": corpus_pipeline.run,
     }
@@ -197,10 +214,60 @@ SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(low, vec_id) AS component_id,
 FROM embeddings LEFT JOIN counts c ON vec_id = c.a LEFT JOIN lowest l ON vec_id = l.a"""
 
 
+# A decimal's CRC-32, bit by bit: the sign and digits through the reversed polynomial.
+_CRC32 = """xor(list_reduce(list_concat([4294967295], [CAST(ascii(x) AS BIGINT)
+    FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, turn: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"""
+
+# Whole sequences of turns as keys.
+_TRIE = f"""WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, MAX(pos) AS len, {_CRC32} % 4 AS h FROM turns GROUP BY conv_id),
+planned AS (
+  SELECT c.conv_id, c.h, b.conv_id AS base, least(c.h, coalesce(b.len, 0)) AS head,
+    least(c.h, coalesce(b.len, 0)) + greatest(c.len - c.h, 0) AS size
+  FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 20),
+rebuilt AS (
+  SELECT p.conv_id, p.size, t.pos AS d, role, text
+  FROM planned p JOIN turns t ON t.conv_id = p.base AND t.pos <= p.head
+  UNION ALL
+  SELECT p.conv_id, p.size, p.head + t.pos - p.h, role, text
+  FROM planned p JOIN turns t ON t.conv_id = p.conv_id AND t.pos > p.h),
+members AS (
+  SELECT conv_id, size, d, text AS last, list(sha256(concat(len(role), ':', role, text)))
+    OVER (PARTITION BY conv_id ORDER BY d) AS path
+  FROM rebuilt
+  UNION ALL SELECT conv_id, size, 0, '', CAST([] AS VARCHAR[]) FROM planned),
+nodes AS (
+  SELECT path, d, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs,
+    (COUNT(*) - 1) * len(regexp_extract_all(MIN(last), '[^\\x20\\x09-\\x0D]+')) AS saved,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+      FILTER (WHERE size = d), '') AS ends
+  FROM members GROUP BY path, d),
+children AS (
+  SELECT p.path, COUNT(*) AS n FROM nodes p JOIN nodes c ON c.d > 0 AND c.path[1:c.d - 1] = p.path
+  GROUP BY p.path),
+below AS (
+  SELECT m.path, SUM(u.saved) AS saved, COUNT(*) FILTER (WHERE c.n IS NULL) AS leaves
+  FROM nodes u JOIN members m ON m.conv_id = u.conv_id AND m.d <= u.d
+    LEFT JOIN children c ON c.path = u.path
+  GROUP BY m.path)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+  coalesce(c.n, 0) AS n_children, b.leaves AS n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below b ON b.path = n.path LEFT JOIN children c ON c.path = n.path
+  LEFT JOIN nodes p ON n.d > 0 AND p.path = n.path[1:n.d - 1]"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can express."""
     return {
         "op2_line_dedup": _LINE_DEDUP,
         "op7_top_k_search": _top_k_sql(),
+        "op12_conversation_prefix_trie": _TRIE,
         "op13_embedding_near_dedup": _NEAR_VECTORS,
     }
