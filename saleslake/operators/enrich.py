@@ -14,6 +14,62 @@ from pyspark.sql import functions as F
 
 from saleslake.functions.columns import DEFAULT_USER, date_column
 
+#: How many batches ago a dimension row came, and whether its key is new in this batch.
+PLACE, NEW_KEY = "place", "new_key"
+
+
+def known_rows(dimension: DataFrame, key: str, place: int) -> DataFrame:
+    """The rows of a stored dimension that a batch's orders are joined to.
+
+    `dimension` has a column `place`, the rank of the batch that brought a row; only rows up to
+    the batch's own `place` count. A key of the batch's own rows has all of these; another has
+    its latest row, of several in one batch the greatest. `new_key` tells the keys that no
+    earlier batch has. The latest row is a maximum, combined before the shuffle, so a key with
+    very many versions never gathers in a task.
+    """
+    columns = [c for c in dimension.columns if c not in (key, PLACE)]
+    own = dimension.filter(F.col(PLACE) == place).select(key, *columns)
+    earlier = (
+        dimension.filter(F.col(PLACE) < place).groupBy(key)
+        .agg(F.max(F.struct(PLACE, *columns)).alias("latest"))
+    )
+    own_keys = own.select(key).distinct()
+    kept = earlier.join(own_keys, key, "left_anti").select(
+        key, *(F.col(f"latest.{c}").alias(c) for c in columns), F.lit(False).alias(NEW_KEY)
+    )
+    seen = earlier.select(key, F.lit(True).alias("seen"))
+    mine = own.join(seen, key, "left").select(
+        key, *columns, F.col("seen").isNull().alias(NEW_KEY)
+    )
+    return mine.unionByName(kept)
+
+
+def newly_matched(
+    parked: DataFrame, customers: DataFrame, products: DataFrame
+) -> DataFrame:
+    """Parked orders that this batch's new customers or products complete.
+
+    Both dimensions come from `known_rows`. An order whose keys were both known before has been
+    taken up by an earlier batch.
+    """
+    flags = []
+    for dimension, key in ((customers, "customer_id"), (products, "product_id")):
+        flags.append(dimension.groupBy(key).agg(F.max(NEW_KEY).alias(f"new_{key}")))
+    return (
+        parked.join(flags[0], "customer_id").join(flags[1], "product_id")
+        .filter("new_customer_id OR new_product_id").select(*parked.columns)
+    )
+
+
+def unmatched(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Orders without a customer or without a product, each once."""
+    flagged = orders
+    for dimension, key in ((customers, "customer_id"), (products, "product_id")):
+        keys = dimension.select(key).distinct().withColumn(f"has_{key}", F.lit(True))
+        flagged = flagged.join(keys, key, "left")
+    lacking = F.col("has_customer_id").isNull() | F.col("has_product_id").isNull()
+    return flagged.filter(lacking).select(*orders.columns)
+
 
 def join_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with their customer's name and country; unmatched orders drop."""

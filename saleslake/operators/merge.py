@@ -14,11 +14,14 @@ both target scans, and no target row is shuffled. A larger batch shuffles the ta
 for the first join and its keys, without the other columns, for the second. The target is
 read twice, the second time for its keys only, and is meant to be a stored table, as is the
 batch, which would be computed more than once otherwise.
+
+A target that is bucketed by a hash of its keys is merged in one full outer join instead, which
+reads it once and moves the batch only, however large.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -30,6 +33,24 @@ KEPT, UPDATED, INSERTED = "kept", "updated", "inserted"
 
 _NEW, _OLD, _KEY = "merge_new_", "merge_old_", "merge_key_"
 
+#: The value to store, from the target's and the batch's.
+Combine = Callable[[Column, Column], Column]
+
+
+def replace(old: Column, new: Column) -> Column:
+    """The batch's value."""
+    return new
+
+
+def add(old: Column, new: Column) -> Column:
+    """The sum, for batches of changes; NULL, and so no change, if either is."""
+    return old + new
+
+
+def key_hash(keys: Sequence[str], types: Mapping) -> Column:
+    """A hash of the keys in the target's types, in which NULL is a value like others."""
+    return F.xxhash64(*(F.col(key).cast(types[key]) for key in keys))
+
 
 def _one_row_per_key(
     source: DataFrame, target: DataFrame, keys: Sequence[str], value: str
@@ -84,20 +105,23 @@ def tag_merge(
     null_safe: bool = False,
     on_update: Mapping[str, Column] | None = None,
     on_insert: Mapping[str, Column] | None = None,
+    combine: Combine = replace,
 ) -> DataFrame:
     """Rows of the merged target, each with the action that produced it.
 
     A matched row takes the source's value where `target != source` is true, so a NULL
     on either side leaves it alone; an unmatched source row is inserted with its keys and
     value, other columns NULL; an unmatched target row stays. Keys match by `=`, or by
-    `<=>` when `null_safe`. `on_update` and `on_insert` set further columns.
+    `<=>` when `null_safe`. `on_update` and `on_insert` set further columns. `combine` makes
+    the new value of both, which else is the source's.
     """
     on_update, on_insert = on_update or {}, on_insert or {}
     batch = _one_row_per_key(source, target, keys, value)
     match = _same_key(keys, "", _NEW, null_safe)
     new_value = F.col(_NEW + value)
-    changed = F.col(f"{_NEW}matched") & (F.col(value) != new_value)
-    set_to = {value: new_value, **on_update}
+    set_value = combine(F.col(value), new_value).cast(target.schema[value].dataType)
+    changed = F.col(f"{_NEW}matched") & (F.col(value) != set_value)
+    set_to = {value: set_value, **on_update}
     filled = {**{key: F.col(_NEW + key) for key in keys}, value: new_value, **on_insert}
 
     merged = target.join(batch, match, "left").select(
@@ -117,6 +141,64 @@ def tag_merge(
     return merged.unionByName(inserted)
 
 
+def tag_merge_bucketed(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    bucket: str,
+    buckets: int,
+    *,
+    null_safe: bool = False,
+    on_update: Mapping[str, Column] | None = None,
+    on_insert: Mapping[str, Column] | None = None,
+    combine: Combine = replace,
+) -> DataFrame:
+    """`tag_merge` for a target whose column `bucket` is `key_hash` and which is bucketed by it.
+
+    The batch is dealt to as many partitions by the same hash and meets the target's buckets
+    where they are. The session must let a join use a partitioning by some of its keys
+    (`spark.sql.requireAllClusterKeysForCoPartition` off).
+    """
+    on_update, on_insert = on_update or {}, on_insert or {}
+    types = {f.name: f.dataType for f in target.schema.fields}
+    hashed = source.select(
+        key_hash(keys, types).alias(_NEW + bucket), *keys, F.col(value)
+    ).repartition(buckets, _NEW + bucket)
+    grouped = hashed.groupBy(_NEW + bucket, *keys).agg(
+        F.max(value).alias(value), F.count(F.lit(1)).alias(f"{_NEW}rows")
+    )
+    single = F.col(f"{_NEW}rows") == 1
+    failure = F.raise_error(F.lit("merge source has more than one row for a key"))
+    batch = grouped.select(
+        _NEW + bucket,
+        *(F.col(key).cast(types[key]).alias(_NEW + key) for key in keys),
+        F.when(single, F.col(value).cast(types[value])).otherwise(failure).alias(_NEW + value),
+        F.lit(True).alias(f"{_NEW}matched"),
+    )
+    held = target.withColumn(f"{_OLD}row", F.lit(True))
+    match = _same_key(keys, "", _NEW, null_safe) & (F.col(bucket) == F.col(_NEW + bucket))
+    new_value = F.col(_NEW + value)
+    set_value = combine(F.col(value), new_value).cast(types[value])
+    present = F.col(f"{_OLD}row").isNotNull()
+    changed = present & F.col(f"{_NEW}matched") & (F.col(value) != set_value)
+    set_to = {value: set_value, **on_update}
+    filled = {
+        **{key: F.col(_NEW + key) for key in keys}, value: new_value,
+        bucket: F.col(_NEW + bucket), **on_insert,
+    }
+    return held.join(batch, match, "full").select(
+        *(
+            F.when(changed, set_to[f.name] if f.name in set_to else F.col(f.name))
+            .when(present, F.col(f.name))
+            .otherwise(filled.get(f.name, F.lit(None)).cast(f.dataType)).alias(f.name)
+            for f in target.schema.fields
+        ),
+        F.when(changed, F.lit(UPDATED)).when(present, F.lit(KEPT)).otherwise(F.lit(INSERTED))
+        .alias(ACTION),
+    )
+
+
 def merge_upsert(
     target: DataFrame,
     source: DataFrame,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -11,15 +12,26 @@ from pyspark.sql import functions as F
 
 from saleslake.functions.columns import DEFAULT_USER, standardize_names, with_audit
 from saleslake.functions.quality import Rule, cleanse
-from saleslake.operators.enrich import enrich
-from saleslake.operators.summary import REPORTS, summarize
+from saleslake.operators.enrich import PLACE, enrich, known_rows, newly_matched, unmatched
+from saleslake.operators.merge import add
+from saleslake.operators.summary import REPORTS
 from saleslake.plans import catalog
 from saleslake.plans.staging import staged
-from saleslake.schemas import DATABASE, SUMMARY_KEYS, SourceSpec
+from saleslake.schemas import (
+    BATCH,
+    BATCHES,
+    DATABASE,
+    ENGINE_TABLES,
+    LEDGER,
+    PARKED,
+    SUMMARY_KEYS,
+    TABLES,
+    SourceSpec,
+)
 from saleslake.sources import read_source
 
-#: The table that tells which tables a named batch has reached.
-LOAD_LOG = "load_log"
+#: Buckets of a year of the summary, where the run creates it.
+BUCKETS = 8
 
 
 @dataclass(frozen=True)
@@ -68,6 +80,13 @@ def _in_years(column: str, years: Iterable[int | None]) -> Column:
     return (F.col(column).between(first, last) | undated) & listed
 
 
+def _contributions(transactions: DataFrame) -> DataFrame:
+    """What each batch's transactions add up to by the summary's keys."""
+    return transactions.withColumn("year", F.year("order_date")).groupBy(
+        BATCH, *SUMMARY_KEYS
+    ).agg(F.sum("profit").alias("total_profit"))
+
+
 def refresh_summary(
     spark: SparkSession,
     database: str = DATABASE,
@@ -76,23 +95,72 @@ def refresh_summary(
 ) -> dict[str, int]:
     """Bring `sales_summary` in line with the whole `transactions` table (T4).
 
-    The merge replaces totals, so each one is summed over all transactions of its key.
-    `years` limits both tables to the order years known to have changed. NULL keys match
+    The merge replaces totals, so each one is summed over all transactions of its key: by batch
+    first, for the ledger that later batches are refreshed by, and then over the batches.
+    `years` limits all tables to the order years known to have changed. NULL keys match
     each other, or a refresh would insert the NULL-year groups again every time.
     """
-    transactions = catalog.table(spark, "transactions", database)
+    catalog.create_tables(spark, database, ENGINE_TABLES.values())
+    for batch in catalog.unfinished_merges(spark, "sales_summary", database):
+        refresh_batch(spark, database, batch)
+    transactions = spark.table(f"`{database}`.`transactions`")
+    ledger = spark.table(f"`{database}`.`{LEDGER.name}`")
     if years is not None:
         years = set(years)
         transactions = transactions.filter(_in_years("order_date", years))
-    return catalog.merge_into(
-        summarize(transactions),
-        "sales_summary",
-        SUMMARY_KEYS,
-        "total_profit",
-        database=database,
-        partitions=years,
-        null_safe=True,
-    )
+    sums = _contributions(transactions)
+    with staged(sums, "contributions") as rows:
+        counts = catalog.merge_into(
+            rows.groupBy(*SUMMARY_KEYS).agg(F.sum("total_profit").alias("total_profit")),
+            "sales_summary", SUMMARY_KEYS, "total_profit", database=database, partitions=years,
+            null_safe=True,
+        )
+        if years is None:
+            catalog.overwrite(rows.select(*ledger.columns), LEDGER.name, database)
+            return counts
+        others = ledger.filter(~F.coalesce(catalog.any_of("year", years), F.lit(False)))
+        with staged(rows.select(*ledger.columns).unionByName(others), "ledger") as whole:
+            catalog.overwrite(whole, LEDGER.name, database)
+    return counts
+
+
+def refresh_batch(spark: SparkSession, database: str, batch: str) -> dict[str, int]:
+    """Bring `sales_summary` in line with one batch's transactions (T4).
+
+    The signed difference between what the batch adds up to now and what the ledger says it has
+    added before goes to the totals; no other batch's transactions are read. The difference is
+    merged from staged rows under the batch's name, and these are dropped only after the ledger
+    is written: a refresh that failed at any point is taken up from there, by its own repetition
+    or by the next refresh of any batch, and nothing is added twice. Keys that a batch no longer
+    has keep a total without it.
+    """
+    catalog.create_tables(spark, database, ENGINE_TABLES.values())
+    for other in catalog.unfinished_merges(spark, "sales_summary", database):
+        if other != batch:
+            refresh_batch(spark, database, other)
+    transactions = spark.table(f"`{database}`.`transactions`").filter(F.col(BATCH) == batch)
+    now = _contributions(transactions).drop(BATCH)
+    with staged(now, "contributions") as rows:
+        before = catalog.table(spark, LEDGER.name, database, batch)
+        amount = F.col("total_profit")
+        signed = rows.select(*SUMMARY_KEYS, amount, F.lit(False).alias("had")).unionByName(
+            before.select(*SUMMARY_KEYS, (-amount).alias("total_profit"), F.lit(True).alias("had"))
+        )
+        changes = (
+            signed.groupBy(*SUMMARY_KEYS)
+            .agg(F.sum("total_profit").alias("total_profit"), F.max("had").alias("had"))
+            .filter("NOT had OR total_profit <> 0")
+        )
+        with staged(changes, "changes") as delta:
+            # At most one row per calendar year, of which four digits make 10,000.
+            years = [row[0] for row in delta.select("year").distinct().collect()]
+            merge = catalog.merging(
+                delta, "sales_summary", SUMMARY_KEYS, "total_profit", batch, database, years,
+                {"null_safe": True, "combine": add},
+            )
+            with merge as counts:
+                catalog.append(rows, LEDGER.name, database, batch)
+    return counts
 
 
 def reports(spark: SparkSession, database: str = DATABASE) -> dict[str, DataFrame]:
@@ -101,19 +169,22 @@ def reports(spark: SparkSession, database: str = DATABASE) -> dict[str, DataFram
     return {name: report(summary) for name, report in REPORTS.items()}
 
 
-def _not_loaded(
-    spark: SparkSession, database: str, batch: str | None, frames: dict[str, DataFrame]
-) -> dict[str, DataFrame]:
-    """The frames of the tables that this batch has not reached yet, by the load log."""
-    if batch is None:
-        return frames
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{database}`.`{LOAD_LOG}`"
-        " (batch STRING, table_name STRING) USING parquet"
-    )
-    log = catalog.table(spark, LOAD_LOG, database).filter(F.col("batch") == batch)
-    done = {row.table_name for row in log.select("table_name").distinct().collect()}
-    return {name: frame for name, frame in frames.items() if name not in done}
+def _place(spark: SparkSession, database: str, batch: str) -> int:
+    """The batch's rank among all batches by when they were first run."""
+    known = {row.batch: row.place for row in catalog.table(spark, BATCHES.name, database).collect()}
+    if batch not in known:
+        known[batch] = max(known.values(), default=0) + 1
+        row = spark.createDataFrame([(batch, known[batch])], BATCHES.schema)
+        catalog.append(row, BATCHES.name, database)
+    return known[batch]
+
+
+def _with_place(spark: SparkSession, name: str, database: str) -> DataFrame:
+    """A table's rows with the rank of their batch; rows without a ranked batch come first."""
+    spec = TABLES.get(name) or ENGINE_TABLES[name]
+    places = catalog.table(spark, BATCHES.name, database).withColumnRenamed("batch", BATCH)
+    rows = spark.table(f"`{database}`.`{name}`").join(places, BATCH, "left")
+    return rows.select(*spec.schema.names, F.coalesce(PLACE, F.lit(0)).alias(PLACE))
 
 
 def run_pipeline(
@@ -126,59 +197,75 @@ def run_pipeline(
     user: str = DEFAULT_USER,
     rules: Mapping[str, Iterable[Rule]] | None = None,
     batch: str | None = None,
+    buckets: int | None = BUCKETS,
 ) -> dict[str, DataFrame]:
     """Load one batch of files, refresh the summary and return the reports.
 
-    Each file is parsed once, into a staging table that the raw table, the cleansed
-    table and the join then read. `rules` replaces the rules of the raw tables it names.
-    Orders are joined to the customers and products of this batch's own files, and drop if
-    theirs came with an earlier one. Tables are kept; dropping them is a separate call.
+    Each file is parsed once, into its raw table, from which the batch's rows are read back to be
+    cleansed and joined. `rules` replaces the rules of the raw tables it names. Tables are kept;
+    dropping them is a separate call.
+
+    Orders are joined to their customers and products of this batch or, where it lacks the key,
+    to the latest row that an earlier batch brought. Orders without one are parked, and the first
+    later batch that brings what they lack takes them up. What a batch takes up depends on
+    the batches first run before it only, so it can be run again at any time.
 
-    All that reads files or joins is done and written before the first table is appended to.
-    With a `batch` name the run can be repeated after a failure: a log in the database tells
-    which tables the batch has reached, and these are passed over. The log is written after
-    the append it tells of, so only a failure between these two would append a table twice.
-    Without a name every run appends.
+    With a `batch` name a run can be repeated after a failure, and with other files: what it
+    writes replaces what it had written under that name. A run without a name is a batch of its
+    own; what it has loaded is taken away again if it fails.
     """
     catalog.create_database(spark, database, location)
-    catalog.create_tables(spark, database)
-    rules = rules or {}
+    catalog.create_tables(spark, database, buckets=buckets)
+    catalog.create_tables(spark, database, ENGINE_TABLES.values())
+    name = batch if batch is not None else f"run-{uuid.uuid4().hex}"
+    try:
+        _load(spark, files, database, name, as_of, user, rules or {})
+    except Exception:
+        if batch is None:
+            for spec in (*TABLES.values(), PARKED):
+                if spec.by_batch:
+                    catalog.drop_batch(spark, spec.name, name, database)
+        raise
+    refresh_batch(spark, database, name)
+    return reports(spark, database)
 
-    def raw(spec: SourceSpec | str, path: str, name: str):
-        return staged(ingest(spark, spec, path, as_of=as_of, user=user), name)
 
+def _load(
+    spark: SparkSession, files: SalesFiles, database: str, batch: str, as_of: dt.date | None,
+    user: str, rules: Mapping[str, Iterable[Rule]],
+) -> None:
+    """A batch's raw, clean and joined rows."""
+    place = _place(spark, database, batch)
+    clean = {}
+    for spec, path, name in (
+        (files.customer_spec, files.customers, "customers"),
+        (files.product_spec, files.products, "products"),
+        (files.order_spec, files.orders, "orders"),
+    ):
+        raw = f"raw_{name}"
+        catalog.append(ingest(spark, spec, path, as_of=as_of, user=user), raw, database, batch)
+        rows = catalog.table(spark, raw, database, batch)
+        clean[name] = cleanse(rows, raw, rules.get(raw))
+    for name in ("customers", "products"):
+        catalog.append(clean[name], name, database, batch)
+    customers = known_rows(
+        _with_place(spark, "customers", database).select(
+            "customer_id", "customer_name", "country", PLACE
+        ), "customer_id", place,
+    )
+    products = known_rows(
+        _with_place(spark, "products", database).select(
+            "product_id", "category", "subcategory", PLACE
+        ), "product_id", place,
+    )
     with (
-        raw(files.customer_spec, files.customers, "raw_customers") as raw_customers,
-        raw(files.product_spec, files.products, "raw_products") as raw_products,
-        raw(files.order_spec, files.orders, "raw_orders") as raw_orders,
+        staged(customers, "known-customers") as customers,
+        staged(products, "known-products") as products,
     ):
-        customers = cleanse(raw_customers, "raw_customers", rules.get("raw_customers"))
-        products = cleanse(raw_products, "raw_products", rules.get("raw_products"))
-        orders = cleanse(raw_orders, "raw_orders", rules.get("raw_orders"))
-        sales = enrich(orders, customers, products, as_of=as_of, user=user)
-        with staged(sales, "transactions") as transactions:
-            # At most one row per calendar year, of which four digits make 10,000.
-            years = [
-                row[0] for row in transactions.select(F.year("order_date")).distinct().collect()
-            ]
-            frames = {
-                "raw_customers": raw_customers,
-                "customers": customers,
-                "raw_products": raw_products,
-                "products": products,
-                "raw_orders": raw_orders,
-                "transactions": transactions,
-            }
-            for name, frame in _not_loaded(spark, database, batch, frames).items():
-                catalog.append(frame, name, database)
-                if batch is not None:
-                    catalog.append(
-                        spark.range(1).select(
-                            F.lit(batch).alias("batch"), F.lit(name).alias("table_name")
-                        ),
-                        LOAD_LOG,
-                        database,
-                    )
-
-    refresh_summary(spark, database, years=years)
-    return reports(spark, database)
+        columns = PARKED.schema.names
+        own = clean["orders"].select(*columns)
+        catalog.append(unmatched(own, customers, products), PARKED.name, database, batch)
+        earlier = _with_place(spark, PARKED.name, database).filter(F.col(PLACE) < place)
+        late = newly_matched(earlier.select(*columns), customers, products)
+        sales = enrich(own.unionByName(late), customers, products, as_of=as_of, user=user)
+        catalog.append(sales, "transactions", database, batch)

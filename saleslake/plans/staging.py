@@ -77,9 +77,18 @@ def staged(
     The files go when the block succeeds and are left for recovery when it fails, also
     beyond the end of the application.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{STAGING}/{purpose}-{uuid.uuid4().hex}"
+    path = staging_path(df.sparkSession, purpose)
     df.write.partitionBy(*partition_by).parquet(path)
-    yield spark.read.schema(df.schema).parquet(path)
+    yield df.sparkSession.read.schema(df.schema).parquet(path)
+    remove(df.sparkSession, path)
+
+
+def staging_path(spark: SparkSession, purpose: str) -> str:
+    """A path nobody else uses, for rows that may be wanted after the application has ended."""
+    return f"{shared_folder(spark)}/{STAGING}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever storage it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

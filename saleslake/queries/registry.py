@@ -32,7 +32,7 @@ from saleslake.operators import enrich, join_customers, join_products, merge_ups
 from saleslake.operators.merge import tag_merge
 from saleslake.operators.summary import REPORTS, all_reports
 from saleslake.plans import catalog
-from saleslake.plans.pipeline import SalesFiles, ingest, refresh_summary, run_pipeline
+from saleslake.plans.pipeline import BUCKETS, SalesFiles, ingest, refresh_summary, run_pipeline
 from saleslake.plans.staging import new_folder, stored
 from saleslake.queries import inputs
 from saleslake.queries.workbooks import write_workbooks
@@ -221,7 +221,7 @@ def _database(spark: SparkSession, purpose: str) -> str:
     """
     name = f"saleslake_{purpose}_{uuid.uuid4().hex}"
     catalog.create_database(spark, name, new_folder(spark, purpose))
-    catalog.create_tables(spark, name)
+    catalog.create_tables(spark, name, buckets=BUCKETS)
     return name
 
 

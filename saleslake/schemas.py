@@ -116,13 +116,17 @@ class TableSpec:
     """A managed table: its schema and its partition columns.
 
     `by_year_of` names a date column by whose year appended rows are put into files, so that
-    a scan of some years can pass over files and row groups.
+    a scan of some years can pass over files and row groups. A table `by_batch` is filed by the
+    batch that brought a row, in a partition column of its own beside the schema. `keys` are
+    what rows are merged by; such a table can be bucketed by their hash.
     """
 
     name: str
     schema: StructType
     partition_by: tuple[str, ...] = ()
     by_year_of: str | None = None
+    by_batch: bool = True
+    keys: tuple[str, ...] = ()
 
 
 TABLES = MappingProxyType(
@@ -135,11 +139,40 @@ TABLES = MappingProxyType(
             TableSpec("customers", _CUSTOMER),
             TableSpec("products", _PRODUCT),
             TableSpec("transactions", _TRANSACTION, by_year_of="order_date"),
-            TableSpec("sales_summary", _SUMMARY, ("year",)),
+            TableSpec("sales_summary", _SUMMARY, ("year",), by_batch=False, keys=SUMMARY_KEYS),
         )
     }
 )
 
+#: The partition column of the batch that brought a row.
+BATCH = "load_batch"
+#: The bucket column of a merged table: a hash of its keys in which NULL is a value.
+KEY_HASH = "key_hash"
+#: Tables of the engine's own, which are not listed with the others.
+OWN = "engine_"
+
+#: What each batch has added to the summary.
+LEDGER = TableSpec(
+    f"{OWN}summary_ledger",
+    struct(year=INT, product_category=STRING, product_sub_category=STRING, customer_name=STRING,
+           total_profit=TOTAL),
+)
+
+#: Clean orders of a batch whose customer or product was not known then.
+PARKED = TableSpec(
+    f"{OWN}parked_orders",
+    struct(
+        row_id=INT, order_id=STRING, order_date=DATE, ship_date=DATE, ship_mode=STRING,
+        customer_id=STRING, product_id=STRING, quantity=INT, price=MONEY, discount=RATE,
+        profit=MONEY,
+    ),
+)
+
+#: The order in which batches were first seen.
+BATCHES = TableSpec(f"{OWN}batches", struct(batch=STRING, place=INT), by_batch=False)
+
+ENGINE_TABLES = MappingProxyType({spec.name: spec for spec in (LEDGER, PARKED, BATCHES)})
+
 
 @dataclass(frozen=True)
 class SourceSpec:

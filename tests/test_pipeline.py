@@ -2,16 +2,20 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from saleslake.plans import catalog, staging
 from saleslake.plans.pipeline import (
     SalesFiles,
     _in_years,
     ingest,
+    refresh_batch,
     refresh_summary,
     reports,
     run_pipeline,
@@ -202,13 +206,141 @@ def test_failed_batch_can_be_run_again(spark, database, tmp_path, monkeypatch, f
     assert catalog.table(spark, "transactions", database).count() == 8
 
 
-def test_orders_of_earlier_customers_drop(spark, database, tmp_path):
+def test_orders_of_earlier_customers_are_kept(spark, database, tmp_path):
     run_pipeline(spark, _first_batch(tmp_path / "in"), database, as_of=DAY)
-    more = _files(tmp_path / "more", CUSTOMERS[1:], PRODUCTS, [
+    more = _files(tmp_path / "more", CUSTOMERS[1:], PRODUCTS[2:], [
         _order(8, KNOWN, CHAIR, "05/05/2016", 1)
     ])
     run_pipeline(spark, more, database, as_of=DAY)
+    assert _summary(spark, database) == {
+        (2016, "Furniture", "Chairs", "Ann", Decimal("14.56")),
+        *(row for row in FIRST if row[0] != 2016),
+    }
+
+
+def test_orders_join_the_latest_row_up_to_their_batch(spark, database, tmp_path):
+    def run(batch, name, order):
+        customers = [_customer(KNOWN, name)] if name else []
+        files = _files(tmp_path / uuid.uuid4().hex, customers, PRODUCTS, [order])
+        run_pipeline(spark, files, database, as_of=DAY, batch=batch)
+
+    steps = [("a", "Ann", 1), ("b", "Bea", 2), ("c", None, 4), ("d", "Dee", 8)]
+    for batch, name, profit in steps:
+        run(batch, name, _order(profit, KNOWN, CHAIR, "01/01/2016", profit))
+    expected = {("Ann", 1), ("Bea", 6), ("Dee", 8)}
+    assert {(r[3], int(r[4])) for r in _summary(spark, database)} == expected
+    # run again, an earlier batch does not see what came later
+    run("c", None, _order(4, KNOWN, CHAIR, "01/01/2016", 4))
+    assert {(r[3], int(r[4])) for r in _summary(spark, database)} == expected
+
+
+def test_parked_orders_are_taken_up_once(spark, database, tmp_path):
+    late, new = "QX-70001", "TOY-AB-00000001"
+    orders = [_order(20, late, CHAIR, "01/01/2016", 1), _order(21, late, new, "01/01/2016", 2),
+              _order(22, KNOWN, new, "01/01/2016", 4)]
+    batches = {
+        "orders": _files(tmp_path / "a", CUSTOMERS, PRODUCTS, orders),
+        "customer": _files(tmp_path / "b", [_customer(late, "Lea")], PRODUCTS, []),
+        "product": _files(tmp_path / "c", [_customer(late, "Lea")], [f"{new},Toys,Blocks,T,S,1"], []),
+    }
+    seen = []
+    for batch in ("orders", "customer", "product", "orders", "customer"):
+        run_pipeline(spark, batches[batch], database, as_of=DAY, batch=batch)
+        rows = catalog.table(spark, "transactions", database).collect()
+        seen.append(sorted((r.row_id, r.customer_name, r.product_category) for r in rows))
+        assert sum(r[4] for r in _summary(spark, database)) == sum(r.profit for r in rows)
+    assert seen[0] == []
+    assert seen[1] == [(20, "Lea", "Furniture")]
+    assert seen[2] == [(20, "Lea", "Furniture"), (21, "Lea", "Toys"), (22, "Ann", "Toys")]
+    assert seen[3:] == [seen[2]] * 2
+
+
+def test_failed_unnamed_run_leaves_no_rows(spark, database, tmp_path, monkeypatch):
+    files, append = _first_batch(tmp_path / "in"), catalog.append
+
+    def broken(df, name, *rest):
+        append(df, name, *rest)
+        if name == "transactions":
+            raise OSError("lost")
+
+    monkeypatch.setattr(catalog, "append", broken)
+    with pytest.raises(OSError, match="lost"):
+        run_pipeline(spark, files, database, as_of=DAY)
+    monkeypatch.setattr(catalog, "append", append)
+    for name in catalog.list_tables(spark, database):
+        assert catalog.table(spark, name, database).count() == 0
+
+
+@pytest.mark.parametrize("step", ["replace", "ledger", "drop"])
+def test_a_refresh_that_failed_adds_nothing_twice(spark, database, tmp_path, monkeypatch, step):
+    """Whether the totals were replaced or not, the next refresh of any batch finishes the work."""
+    files = _first_batch(tmp_path / "in")
+    patched = {"replace": (catalog, "_replace_changed"), "ledger": (catalog, "append"),
+               "drop": (catalog, "remove")}[step]
+    real = getattr(*patched)
+
+    def broken(*args):
+        if step == "replace":
+            real(*args)
+            raise OSError("lost")
+        if step == "ledger" and args[1] != "engine_summary_ledger":
+            return real(*args)
+        if step == "drop":
+            return None  # the files of the staged rows stay, as after a loss of the driver
+        raise OSError("lost")
+
+    monkeypatch.setattr(*patched, broken)
+    if step == "drop":
+        run_pipeline(spark, files, database, as_of=DAY, batch="first")
+    else:
+        with pytest.raises(OSError, match="lost"):
+            run_pipeline(spark, files, database, as_of=DAY, batch="first")
+        assert catalog.unfinished_merges(spark, "sales_summary", database) == ["first"]
+    monkeypatch.setattr(*patched, real)
+    none = _files(tmp_path / "none", CUSTOMERS, PRODUCTS, [])
+    run_pipeline(spark, none, database, as_of=DAY, batch="it's \\ second")
+    assert _summary(spark, database) == FIRST
+    run_pipeline(spark, files, database, as_of=DAY, batch="first")
     assert _summary(spark, database) == FIRST
+    assert catalog.unfinished_merges(spark, "sales_summary", database) == []
+
+
+def test_a_batch_refresh_reads_its_own_transactions_only(spark, database, tmp_path):
+    run_pipeline(spark, _first_batch(tmp_path / "in"), database, as_of=DAY, batch="first")
+    for path in (tmp_path / "db" / "transactions" / "load_batch=first").glob("*.parquet"):
+        path.write_bytes(b"not a file of rows")
+    more = _files(tmp_path / "more", CUSTOMERS, PRODUCTS, [_order(8, KNOWN, CHAIR, "05/05/2016", 1)])
+    run_pipeline(spark, more, database, as_of=DAY, batch="second")
+    assert (2016, "Furniture", "Chairs", "Ann", Decimal("14.56")) in _summary(spark, database)
+
+
+batch_rows = st.lists(
+    st.tuples(st.sampled_from([None, "2015-01-01", "2016-05-05"]), st.sampled_from(["a", None]),
+              st.integers(-3, 3)), max_size=4,
+)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(steps=st.lists(st.tuples(st.sampled_from("xyz"), batch_rows), min_size=1, max_size=4))
+def test_batches_add_up_to_a_full_refresh(spark, steps):
+    """Any batches, loaded again with other rows too; keys that vanish count as zero."""
+    name = f"sales_{uuid.uuid4().hex}"
+    catalog.create_database(spark, name)
+    catalog.create_tables(spark, name, buckets=3)
+    try:
+        for batch, rows in steps:
+            df = spark.createDataFrame(rows, "order_date string, customer_name string, profit int")
+            catalog.append(df, "transactions", name, batch)
+            refresh_batch(spark, name, batch)
+        whole = summarize(catalog.table(spark, "transactions", name)).collect()
+        totals = {tuple(row)[:4]: row.total_profit for row in whole if row.total_profit}
+        assert {r[:4]: r[4] for r in _summary(spark, name) if r[4]} == totals
+        refresh_summary(spark, name)
+        assert {r[:4]: r[4] for r in _summary(spark, name) if r[4]} == totals
+        counts = refresh_batch(spark, name, steps[-1][0])
+        assert counts == {"updated": 0, "inserted": 0}
+    finally:
+        catalog.drop_database(spark, name)
 
 
 def test_ingest_stamps_and_renames(spark, tmp_path):
