@@ -39,21 +39,23 @@ _SPACE = "▁".encode()
 
 
 class Pieces(NamedTuple):
-    """A vocabulary: each id's bytes and their number, and its number as text."""
+    """A vocabulary: each id's bytes and their number, and its number as text, first as one that
+    others of its side follow in a group and then, one vocabulary further, as the last."""
 
     raw: list[bytes]
     sizes: np.ndarray
     names: np.ndarray
 
 
-def _pieces(raw: list[bytes]) -> Pieces:
-    names = np.array([str(at) for at in range(len(raw))], dtype=object)
-    return Pieces(raw, np.array([len(x) for x in raw], dtype=np.int64), names)
+def _pieces(raw: list[bytes], last: str) -> Pieces:
+    names = [f"{at}{sign}" for sign in (",", last) for at in range(len(raw))]
+    return Pieces(raw, np.array([len(x) for x in raw], dtype=np.int64), np.array(names, dtype=object))
 
 
 @lru_cache(maxsize=2)
 def _first(path: str):
-    """A function from a text to the ids of a byte-level tokenizer file, and its vocabulary.
+    """A byte-level tokenizer file: a function from a text to ids, one from ids to bytes, and
+    the vocabulary.
 
     Special tokens' strings are encoded like any other.
     """
@@ -62,13 +64,19 @@ def _first(path: str):
     raw = [b""] * slow.get_vocab_size()
     for piece, at in slow.get_vocab(with_added_tokens=False).items():
         raw[at] = bytes(letters[c] for c in piece if c in letters)
+    pieces = _pieces(raw, "|")
     if fast is not None:
-        return fast.encode_ordinary, _pieces(raw)
+        # it knows no special token, so none is allowed or refused
+        return partial(fast.encode_to_numpy, disallowed_special=()), fast.decode_bytes, pieces
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(path)
     plain.encode_special_tokens = True
-    return lambda text: plain.encode(text, add_special_tokens=False).ids, _pieces(raw)
+    return (
+        lambda text: np.array(plain.encode(text, add_special_tokens=False).ids, dtype=np.int64),
+        lambda ids: b"".join(map(raw.__getitem__, ids)),
+        pieces,
+    )
 
 
 @lru_cache(maxsize=2)
@@ -83,7 +91,7 @@ def _second(path: str):
         else piece.encode().replace(_SPACE, b" ")
         for at, piece in enumerate(model.id_to_piece(list(range(model.get_piece_size()))))
     ]
-    return model, _pieces(raw)
+    return model, _pieces(raw, ";")
 
 
 def shared_cuts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -94,27 +102,31 @@ def shared_cuts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """
     found = [np.array([len(a) - 1])]
     low, high = np.array([0]), np.array([len(a)])
+
+    def common(at: np.ndarray) -> np.ndarray:
+        # the last end of both is the largest, so every place is one of `b`
+        return b[np.searchsorted(b, a[at])] == a[at]
+
     while len(low):
         inner = high - low > 1
         low, high = low[inner], high[inner]
         middle = (low + high - 2) // 2
-        cut = np.full(len(low), -1)
-        open_ = np.arange(len(low))
-        near, far = 0, 1
+        cut = np.where(common(middle), middle, -1)
+        open_ = np.flatnonzero((cut < 0) & (high - low > 2))
+        near, far = 1, 3
         while len(open_):
             # ends at a distance of near ... far - 1 on either side of the middle
-            left = np.maximum(middle[open_] - far + 1, low[open_])
-            right = np.minimum(middle[open_] + far, high[open_] - 1)
+            center = middle[open_]
+            left = np.maximum(center - far + 1, low[open_])
+            right = np.minimum(center + far, high[open_] - 1)
             count = right - left
             row = np.repeat(np.arange(len(open_)), count)
-            at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + left[row]
-            away = np.abs(at - middle[open_][row])
-            new = away >= near
+            at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count - left, count)
+            away = np.abs(at - center[row])
+            new = np.flatnonzero(away >= near)
+            new = new[common(at[new])]
             row, at, away = row[new], at[new], away[new]
-            place = np.searchsorted(b, a[at])
-            common = b[np.minimum(place, len(b) - 1)] == a[at]
-            row, at, away = row[common], at[common], away[common]
-            order = np.lexsort((at, away, row))
+            order = np.lexsort((away, row))
             first = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
             cut[open_[row[first]]] = at[first]
             near, far = far, 4 * far
@@ -142,32 +154,42 @@ class Aligned(NamedTuple):
 
 def align(ends_a: np.ndarray, ends_b: np.ndarray) -> Aligned:
     """Groups and links of tokens that end at these byte offsets and tile the same bytes."""
-    cuts = ends_a[shared_cuts(ends_a, ends_b)]
+    cut_a = np.zeros(len(ends_a), dtype=bool)
+    cut_a[shared_cuts(ends_a, ends_b)] = True
+    ends = np.zeros(int(ends_a[-1]) + 1, dtype=np.uint8)
+    ends[ends_a] = 1
+    ends[ends_b] |= 2
+    ends[ends_a[cut_a]] |= 4
+    cut_b = ends[ends_b] >= 4
     # a part between neighbouring ends lies in one token of each: a link
-    parts = np.union1d(ends_a, ends_b)
-    return Aligned(
-        np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b),
-        np.searchsorted(ends_a, parts), np.searchsorted(ends_b, parts),
-    )
+    parts = ends[np.flatnonzero(ends)]
+
+    def before(flags: np.ndarray) -> np.ndarray:
+        return np.cumsum(flags) - flags
+
+    return Aligned(before(cut_a), before(cut_b), before(parts & 1), before(parts >> 1 & 1))
 
 
 def _spelled(
     a: np.ndarray, b: np.ndarray, aligned: Aligned, names_a: np.ndarray, names_b: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens' numbers with the sign that follows each, group by group, and their groups."""
-    last_a = np.diff(aligned.group_a, append=-1) != 0
-    last_b = np.diff(aligned.group_b, append=-1) != 0
-    signs = np.concatenate([np.where(last_a, "|", ","), np.where(last_b, ";", ",")]).astype(object)
-    words = np.concatenate([names_a[a], names_b[b]]) + signs
-    order = np.argsort(
-        np.concatenate([2 * aligned.group_a, 2 * aligned.group_b + 1]), kind="stable"
-    )
-    return words[order], np.concatenate([aligned.group_a, aligned.group_b])[order]
+) -> np.ndarray:
+    """The tokens' numbers with the sign that follows each, group by group, A's before B's."""
+    group_a, group_b = aligned.group_a, aligned.group_b
+    size = int(group_a[-1]) + 1
+    held_a, held_b = np.bincount(group_a, minlength=size), np.bincount(group_b, minlength=size)
+    out = np.empty(len(a) + len(b), dtype=object)
+    place_a = np.arange(len(a)) + (np.cumsum(held_b) - held_b)[group_a]
+    place_b = np.arange(len(b)) + np.cumsum(held_a)[group_b]
+    last_a = np.diff(group_a, append=size) != 0
+    last_b = np.diff(group_b, append=size) != 0
+    out[place_a] = names_a[a + last_a * (len(names_a) // 2)]
+    out[place_b] = names_b[b + last_b * (len(names_b) // 2)]
+    return out
 
 
 def _tokens(texts: list[str | None], first: str, second: str):
     """Ids of both tokenizers for the texts whose tokens' bytes are the text after a blank."""
-    encode, pieces_a = _first(first)
+    encode, decode, _ = _first(first)
     model, pieces_b = _second(second)
     given = [text or "" for text in texts]
     some = [at for at, text in enumerate(given) if text]
@@ -176,10 +198,8 @@ def _tokens(texts: list[str | None], first: str, second: str):
         text = " " + given[at]
         raw = text.encode()
         a = encode(text)
-        if b"".join(map(pieces_a.raw.__getitem__, a)) == raw and (
-            b"".join(map(pieces_b.raw.__getitem__, b)) == raw
-        ):
-            yield at, np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        if decode(a) == raw and b"".join(map(pieces_b.raw.__getitem__, b)) == raw:
+            yield at, a.astype(np.int64), np.array(b, dtype=np.int64)
 
 
 _FIELDS = (
@@ -198,7 +218,7 @@ def _align_some(
     ids: list, texts: list[str | None], first: str, second: str
 ) -> Iterator[tuple]:
     """(id, n_a, n_b, n_groups, n_links, digest, link pairs) of each text."""
-    pieces_a, pieces_b = _first(first)[1], _second(second)[1]
+    pieces_a, pieces_b = _first(first)[-1], _second(second)[-1]
     known = list(_tokens(texts, first, second))
     empty = set(range(len(texts))) - {at for at, _, _ in known}
     for at in sorted(empty):
@@ -210,11 +230,11 @@ def _align_some(
     # one row of bytes for all documents, whose ends are cuts themselves
     ends_a, ends_b = np.cumsum(pieces_a.sizes[a]), np.cumsum(pieces_b.sizes[b])
     aligned = align(ends_a, ends_b)
-    words, group_of_word = _spelled(a, b, aligned, pieces_a.names, pieces_b.names)
+    words = _spelled(a, b, aligned, pieces_a.names, pieces_b.names)
     pairs = (a[aligned.link_a] << 32) | b[aligned.link_b]
     stop_a = np.cumsum([len(x) for _, x, _ in known])
     stop_group = aligned.group_a[stop_a - 1] + 1
-    stop_word = np.searchsorted(group_of_word, stop_group)
+    stop_word = stop_a + np.cumsum([len(y) for _, _, y in known])
     stop_link = np.searchsorted(aligned.link_a, stop_a)
     group, word, link = 0, 0, 0
     for (at, x, y), g, w, n in zip(known, stop_group, stop_word, stop_link, strict=True):
