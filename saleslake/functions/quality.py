@@ -39,6 +39,10 @@ class RequireMatch:
     column: str
     pattern: str
 
+    @property
+    def name(self) -> str:
+        return f"{self.column} does not match"
+
     def predicate(self) -> Column:
         return F.col(self.column).rlike(self.pattern)
 
@@ -140,10 +144,61 @@ def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     return df.withColumns(values) if values else df
 
 
-def cleanse(df: DataFrame, table: str, rules: Iterable[Rule] | None = None) -> DataFrame:
-    """Apply the rule set registered for `table`, or the given one."""
+#: Columns of judged rows: the names of the rules a row failed, and whether it failed none.
+FAILED, ACCEPTED = "failed_rules", "accepted"
+_CLEAN = "clean_"
+
+
+def judge_rows(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+    """All rows, each with the match rules it failed, and its cleansed values beside its own.
+
+    Written by `accepted`, one pass over the rows gives both what `accepted_rows` and what
+    `rejected_rows` read. A NULL fails a match rule, as in `apply_rules`.
+    """
+    rules = tuple(rules)
+    required = [rule for rule in rules if isinstance(rule, RequireMatch)]
+    rewrites = [rule for rule in rules if not isinstance(rule, RequireMatch)]
+    if len({rule.column for rule in rewrites}) < len(rewrites):
+        raise ValueError("more than one rewriting rule for a column")
+    failed = F.array_compact(
+        F.array(*(
+            F.when(~F.coalesce(rule.predicate(), F.lit(False)), F.lit(rule.name))
+            for rule in required
+        ))
+    ) if required else F.array().cast("array<string>")
+    return (
+        df.select("*", failed.alias(FAILED), *(
+            rule.value().alias(_CLEAN + rule.column) for rule in rewrites
+        ))
+        .withColumn(ACCEPTED, F.size(FAILED) == 0)
+    )
+
+
+def accepted_rows(judged: DataFrame) -> DataFrame:
+    """What `apply_rules` keeps, from judged rows."""
+    names = [c for c in judged.columns if c not in (FAILED, ACCEPTED)]
+    rewritten = {c.removeprefix(_CLEAN) for c in names if c.startswith(_CLEAN)}
+    return judged.filter(ACCEPTED).select(
+        *(F.col(_CLEAN + c).alias(c) if c in rewritten else F.col(c)
+          for c in names if not c.startswith(_CLEAN))
+    )
+
+
+def rejected_rows(judged: DataFrame) -> DataFrame:
+    """The rows that failed a rule, as they came, with the names of all rules they failed."""
+    names = [c for c in judged.columns if c != ACCEPTED and not c.startswith(_CLEAN)]
+    return judged.filter(~F.col(ACCEPTED)).select(*names)
+
+
+def rules_for(table: str, rules: Iterable[Rule] | None = None) -> tuple[Rule, ...]:
+    """The given rules, or those registered for `table`."""
     if rules is None:
         if table not in RULES:
             raise ValueError(f"no quality rules for '{table}'; known: {', '.join(RULES)}")
         rules = RULES[table]
-    return apply_rules(df, rules)
+    return tuple(rules)
+
+
+def cleanse(df: DataFrame, table: str, rules: Iterable[Rule] | None = None) -> DataFrame:
+    """Apply the rule set registered for `table`, or the given one."""
+    return apply_rules(df, rules_for(table, rules))

@@ -5,13 +5,21 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Iterable, Mapping
+from contextlib import ExitStack
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from saleslake.functions.columns import DEFAULT_USER, standardize_names, with_audit
-from saleslake.functions.quality import Rule, cleanse
+from saleslake.functions.quality import (
+    ACCEPTED,
+    Rule,
+    accepted_rows,
+    judge_rows,
+    rejected_rows,
+    rules_for,
+)
 from saleslake.operators.enrich import PLACE, enrich, known_rows, newly_matched, unmatched
 from saleslake.operators.merge import add
 from saleslake.operators.summary import REPORTS
@@ -20,6 +28,7 @@ from saleslake.plans.staging import staged
 from saleslake.schemas import (
     BATCH,
     BATCHES,
+    COUNTS,
     DATABASE,
     ENGINE_TABLES,
     LEDGER,
@@ -27,6 +36,7 @@ from saleslake.schemas import (
     SUMMARY_KEYS,
     TABLES,
     SourceSpec,
+    rejected_table,
 )
 from saleslake.sources import read_source
 
@@ -202,8 +212,10 @@ def run_pipeline(
     """Load one batch of files, refresh the summary and return the reports.
 
     Each file is parsed once, into its raw table, from which the batch's rows are read back to be
-    cleansed and joined. `rules` replaces the rules of the raw tables it names. Tables are kept;
-    dropping them is a separate call.
+    cleansed and joined. `rules` replaces the rules of the raw tables it names. Rows that fail a
+    rule go to a table of their own with the names of the rules, in the same pass; how many rows
+    were read, kept and joined is observed while they are written. Tables are kept; dropping them
+    is a separate call.
 
     Orders are joined to their customers and products of this batch or, where it lacks the key,
     to the latest row that an earlier batch brought. Orders without one are parked, and the first
@@ -222,7 +234,7 @@ def run_pipeline(
         _load(spark, files, database, name, as_of, user, rules or {})
     except Exception:
         if batch is None:
-            for spec in (*TABLES.values(), PARKED):
+            for spec in (*TABLES.values(), *ENGINE_TABLES.values()):
                 if spec.by_batch:
                     catalog.drop_batch(spark, spec.name, name, database)
         raise
@@ -236,36 +248,49 @@ def _load(
 ) -> None:
     """A batch's raw, clean and joined rows."""
     place = _place(spark, database, batch)
-    clean = {}
-    for spec, path, name in (
-        (files.customer_spec, files.customers, "customers"),
-        (files.product_spec, files.products, "products"),
-        (files.order_spec, files.orders, "orders"),
-    ):
-        raw = f"raw_{name}"
-        catalog.append(ingest(spark, spec, path, as_of=as_of, user=user), raw, database, batch)
-        rows = catalog.table(spark, raw, database, batch)
-        clean[name] = cleanse(rows, raw, rules.get(raw))
-    for name in ("customers", "products"):
-        catalog.append(clean[name], name, database, batch)
-    customers = known_rows(
-        _with_place(spark, "customers", database).select(
-            "customer_id", "customer_name", "country", PLACE
-        ), "customer_id", place,
-    )
-    products = known_rows(
-        _with_place(spark, "products", database).select(
-            "product_id", "category", "subcategory", PLACE
-        ), "product_id", place,
-    )
-    with (
-        staged(customers, "known-customers") as customers,
-        staged(products, "known-products") as products,
-    ):
+    counts: dict[str, Observation] = {}
+    with ExitStack() as stages:
+        clean = {}
+        for spec, path, name in (
+            (files.customer_spec, files.customers, "customers"),
+            (files.product_spec, files.products, "products"),
+            (files.order_spec, files.orders, "orders"),
+        ):
+            raw = f"raw_{name}"
+            catalog.append(ingest(spark, spec, path, as_of=as_of, user=user), raw, database, batch)
+            rows = catalog.table(spark, raw, database, batch)
+            judged = judge_rows(rows, rules_for(raw, rules.get(raw)))
+            counts[name] = Observation()
+            counted = judged.observe(
+                counts[name], F.count(F.lit(1)).alias("read"), F.count_if(ACCEPTED).alias("kept")
+            )
+            stage = stages.enter_context(staged(counted, f"judged-{name}", [ACCEPTED]))
+            catalog.append(rejected_rows(stage), rejected_table(raw), database, batch)
+            clean[name] = accepted_rows(stage)
+        for name in ("customers", "products"):
+            catalog.append(clean[name], name, database, batch)
+        customers = stages.enter_context(staged(known_rows(
+            _with_place(spark, "customers", database).select(
+                "customer_id", "customer_name", "country", PLACE
+            ), "customer_id", place,
+        ), "known-customers"))
+        products = stages.enter_context(staged(known_rows(
+            _with_place(spark, "products", database).select(
+                "product_id", "category", "subcategory", PLACE
+            ), "product_id", place,
+        ), "known-products"))
         columns = PARKED.schema.names
         own = clean["orders"].select(*columns)
         catalog.append(unmatched(own, customers, products), PARKED.name, database, batch)
         earlier = _with_place(spark, PARKED.name, database).filter(F.col(PLACE) < place)
         late = newly_matched(earlier.select(*columns), customers, products)
         sales = enrich(own.unionByName(late), customers, products, as_of=as_of, user=user)
-        catalog.append(sales, "transactions", database, batch)
+        counts["transactions"] = Observation()
+        joined = sales.observe(counts["transactions"], F.count(F.lit(1)).alias("joined"))
+        catalog.append(joined, "transactions", database, batch)
+    seen = [
+        (f"{name}_{step}", value)
+        for name, observed in counts.items() for step, value in observed.get.items()
+    ]
+    rows = spark.createDataFrame(seen, COUNTS.schema)
+    catalog.append(rows.coalesce(1), COUNTS.name, database, batch)

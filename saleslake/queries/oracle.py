@@ -305,6 +305,18 @@ FROM lineitem""",
             ("raw_orders", "valid_orders"),
             "SELECT row_id, order_id, customer_id, product_id FROM valid_orders",
         ),
+        "orders_rejected": _sql(
+            ("raw_orders",),
+            f"""SELECT row_id, order_id, customer_id, product_id, order_date, ship_date,
+  concat_ws(',',
+    CASE WHEN regexp_matches(order_id, '{_ORDER}') THEN NULL ELSE 'order_id' END,
+    CASE WHEN regexp_matches(customer_id, '{_CUSTOMER}') THEN NULL ELSE 'customer_id' END,
+    CASE WHEN regexp_matches(product_id, '{_PRODUCT}') THEN NULL ELSE 'product_id' END) AS failed
+FROM raw_orders
+WHERE coalesce(NOT (regexp_matches(order_id, '{_ORDER}')
+  AND regexp_matches(customer_id, '{_CUSTOMER}') AND regexp_matches(product_id, '{_PRODUCT}')),
+  TRUE)""",
+        ),
         "orders_parsed_dates": _sql(
             ("raw_orders",), dates.format(_parsed("order_date"), _parsed("ship_date"))
         ),

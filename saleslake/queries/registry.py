@@ -12,21 +12,25 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from saleslake.functions.columns import conform, standardize_names, with_audit
 from saleslake.functions.quality import (
+    ACCEPTED,
     RELAXED_DATE_FORMAT,
     RELAXED_DATE_SHAPE,
     RULES,
     ParseDate,
     RequireMatch,
+    accepted_rows,
     apply_rules,
     cleanse,
     customer_rules,
+    judge_rows,
     order_rules,
     product_rules,
+    rejected_rows,
 )
 from saleslake.operators import enrich, join_customers, join_products, merge_upsert, summarize
 from saleslake.operators.merge import tag_merge
@@ -269,34 +273,52 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows read, kept by the rules, and joined."""
-    clean = _all_keys(spark, sf_dir)
-    steps = {
-        "orders_read": inputs.raw_orders(spark, sf_dir),
-        "orders_valid": clean["raw_orders"],
-        "customers_valid": clean["raw_customers"],
-        "products_valid": clean["raw_products"],
-        "transactions": _clean_transactions(spark, sf_dir),
-    }
-    counts = [
-        frame.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(step).alias("step"), "row_count"
+    """Rows read, kept by the rules, and joined, each observed while it is written."""
+    counts, clean = {}, {}
+    for name, read in _RAW.items():
+        judged = judge_rows(read(spark, sf_dir, wide=True), WIDE_RULES[name])
+        counts[name] = Observation()
+        seen = judged.observe(
+            counts[name], F.count(F.lit(1)).alias("read"), F.count_if(ACCEPTED).alias("valid")
         )
-        for step, frame in steps.items()
+        clean[name] = stored(accepted_rows(seen), f"valid-{name}")
+    counts["transactions"] = Observation()
+    enrich(
+        clean["raw_orders"], clean["raw_customers"], clean["raw_products"], as_of=AS_OF
+    ).observe(counts["transactions"], F.count(F.lit(1)).alias("joined")).write.format(
+        "noop"
+    ).mode("overwrite").save()
+    steps = [
+        ("orders_read", counts["raw_orders"].get["read"]),
+        *((f"{name}_valid", counts[f"raw_{name}"].get["valid"])
+          for name in ("orders", "customers", "products")),
+        ("transactions", counts["transactions"].get["joined"]),
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return spark.createDataFrame(steps, "step string, row_count long")
+
+
+def orders_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders that failed a rule, as they came, with the columns that failed."""
+    judged = judge_rows(inputs.raw_orders(spark, sf_dir), RULES["raw_orders"])
+    failed = F.array_join(F.transform("failed_rules", lambda x: F.split(x, " ")[0]), ",")
+    return rejected_rows(judged).select(
+        "row_id", "order_id", "customer_id", "product_id", "order_date", "ship_date",
+        failed.alias("failed"),
+    )
+
+
+_RAW = {
+    "raw_orders": inputs.raw_orders,
+    "raw_customers": inputs.raw_customers,
+    "raw_products": inputs.raw_products,
+}
 
 
 def _all_keys(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The cleansed inputs with ids that tell any number of keys apart."""
-    raw = {
-        "raw_orders": inputs.raw_orders,
-        "raw_customers": inputs.raw_customers,
-        "raw_products": inputs.raw_products,
-    }
     return {
         name: cleanse(read(spark, sf_dir, wide=True), name, WIDE_RULES[name])
-        for name, read in raw.items()
+        for name, read in _RAW.items()
     }
 
 
@@ -379,6 +401,7 @@ def queries() -> dict[str, Query]:
             (_month_first("order_date"), _month_first("ship_date"))
         ),
         "orders_clean": orders_clean,
+        "orders_rejected": orders_rejected,
         "customers_clean": customers_clean,
         "products_clean": products_clean,
         "merge_summary": _merge(null_safe=False),

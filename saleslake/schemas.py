@@ -10,10 +10,12 @@ from dataclasses import dataclass, field
 from types import MappingProxyType
 
 from pyspark.sql.types import (
+    ArrayType,
     DataType,
     DateType,
     DecimalType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -171,7 +173,33 @@ PARKED = TableSpec(
 #: The order in which batches were first seen.
 BATCHES = TableSpec(f"{OWN}batches", struct(batch=STRING, place=INT), by_batch=False)
 
-ENGINE_TABLES = MappingProxyType({spec.name: spec for spec in (LEDGER, PARKED, BATCHES)})
+#: How many rows each step of a batch's run has seen.
+COUNTS = TableSpec(f"{OWN}load_counts", struct(step=STRING, row_count=LongType()))
+
+
+def rejected_table(raw: str) -> str:
+    """The table of the rows of a raw table that failed a rule."""
+    return OWN + raw.replace("raw_", "rejected_")
+
+
+ENGINE_TABLES = MappingProxyType(
+    {
+        spec.name: spec
+        for spec in (
+            LEDGER, PARKED, BATCHES, COUNTS,
+            *(
+                TableSpec(
+                    rejected_table(raw),
+                    StructType([*schema.fields, StructField("failed_rules", ArrayType(STRING))]),
+                )
+                for raw, schema in (
+                    ("raw_customers", _CUSTOMER), ("raw_products", _PRODUCT),
+                    ("raw_orders", _RAW_ORDER),
+                )
+            ),
+        )
+    }
+)
 
 
 @dataclass(frozen=True)

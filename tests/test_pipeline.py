@@ -343,6 +343,25 @@ def test_batches_add_up_to_a_full_refresh(spark, steps):
         catalog.drop_database(spark, name)
 
 
+def test_rejected_rows_and_counts_are_kept(spark, database, tmp_path):
+    run_pipeline(spark, _first_batch(tmp_path / "in"), database, as_of=DAY, batch="first")
+    rejected = {
+        name: sorted((row[0], *row.failed_rules) for row in
+                     catalog.table(spark, f"engine_rejected_{name}", database).collect())
+        for name in ("customers", "products", "orders")
+    }
+    assert rejected == {
+        "customers": [("BAD", "customer_id does not match")],
+        "products": [("BAD", "product_id does not match")],
+        "orders": [(5, "customer_id does not match"), (7, "product_id does not match")],
+    }
+    counts = catalog.table(spark, "engine_load_counts", database, "first").collect()
+    assert {row.step: row.row_count for row in counts} == {
+        "customers_read": 3, "customers_kept": 2, "products_read": 3, "products_kept": 2,
+        "orders_read": 7, "orders_kept": 5, "transactions_joined": 4,
+    }
+
+
 def test_ingest_stamps_and_renames(spark, tmp_path):
     files = _first_batch(tmp_path / "in")
     df = ingest(spark, "Product.csv", files.products, as_of=DAY, user="loader")

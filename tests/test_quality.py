@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from saleslake.functions import quality
 from saleslake.functions.quality import (
     RELAXED_DATE_FORMAT,
     RELAXED_DATE_SHAPE,
@@ -163,3 +164,27 @@ def test_wider_ids_by_rule(spark):
     assert cleanse(parts, "raw_products", product_rules(inputs.WIDE_PRODUCT_ID)).select(
         "product_id"
     ).distinct().count() == 4
+
+
+def test_judged_rows_split_into_kept_and_rejected(spark):
+    rows = [(1, "CA-2016-000001", "QX-40417", "SEA-TK-73310052", "31/10/2016"),
+            (2, "bad", "QX-40417", "SEA-TK-73310052", "31/02/2016"),
+            (3, None, "x", None, None), (4, "CA-2016-000001", "QX-40417", "SEA-TK-73310052", "x")]
+    raw = spark.createDataFrame(
+        [(*row, row[-1]) for row in rows],
+        "row_id int, order_id string, customer_id string, product_id string, order_date string,"
+        " ship_date string",
+    )
+    judged = quality.judge_rows(raw, quality.RULES["raw_orders"])
+    kept = quality.accepted_rows(judged)
+    assert kept.schema == quality.cleanse(raw, "raw_orders").schema
+    assert sorted(kept.collect()) == sorted(quality.cleanse(raw, "raw_orders").collect())
+    rejected = {row.row_id: row for row in quality.rejected_rows(judged).collect()}
+    assert {k: row.failed_rules for k, row in rejected.items()} == {
+        2: ["order_id does not match"],
+        3: ["order_id does not match", "customer_id does not match", "product_id does not match"],
+    }
+    assert rejected[2].order_date == "31/02/2016"
+    assert len(rejected) + kept.count() == len(rows)
+    none = quality.judge_rows(raw, [])
+    assert quality.accepted_rows(none).count() == 4 and quality.rejected_rows(none).count() == 0
