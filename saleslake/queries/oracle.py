@@ -382,6 +382,11 @@ FROM ({null_safe}) m""",
             True,
         ),
         "csv_scan": _sql(("raw_products",), products_text),
+        "csv_mixed_headers": _sql(("raw_products",), products_text),
+        "json_broken_records": _sql(("raw_orders",), """SELECT row_id, order_id, quantity,
+  CAST(NULL AS VARCHAR) AS broken_record FROM raw_orders WHERE row_id % 97 <> 0
+UNION ALL SELECT NULL, NULL, NULL, '{"Row ID": ' || CAST(row_id AS VARCHAR)
+FROM raw_orders WHERE row_id % 97 = 0"""),
         "json_scan": _sql(("raw_orders",), "SELECT * FROM raw_orders"),
         "xlsx_scan": _sql(("raw_customers",), "SELECT * FROM raw_customers"),
         "ingest_products": _sql(

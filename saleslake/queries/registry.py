@@ -42,6 +42,7 @@ from saleslake.queries import inputs
 from saleslake.queries.workbooks import write_workbooks
 from saleslake.schemas import SUMMARY_KEYS, TABLES
 from saleslake.sources import read_source
+from saleslake.sources.files import read_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -344,6 +345,31 @@ def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize_names(read_source(spark, "Order.json", path))
 
 
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of product files with the columns in two orders."""
+    path = new_folder(spark, "products-mixed")
+    rows = _product_file(spark, sf_dir)
+    odd = F.crc32(F.col(f"`{rows.columns[0]}`").cast("binary")) % 2 == 1
+    rows.filter(~odd).write.option("header", True).csv(path)
+    rows.filter(odd).select(*(f"`{c}`" for c in reversed(rows.columns))).write.option(
+        "header", True
+    ).mode("append").csv(path)
+    return standardize_names(read_source(spark, "Product.csv", path))
+
+
+def json_broken_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: an orders file in which some lines end too soon, as good rows and broken lines."""
+    path = new_folder(spark, "orders-broken")
+    rows = _order_file(spark, sf_dir)
+    whole = F.to_json(F.struct(*(f"`{c}`" for c in rows.columns)))
+    short = F.concat(F.lit('{"Row ID": '), F.col("Row ID").cast("string"))
+    rows.select(F.when(F.col("Row ID") % 97 == 0, short).otherwise(whole)).write.text(path)
+    good, broken = read_records(spark, "Order.json", path)
+    return standardize_names(good).select(
+        "row_id", "order_id", "quantity", F.lit(None).cast("string").alias("broken_record")
+    ).unionByName(broken.select("broken_record"), allowMissingColumns=True)
+
+
 def xlsx_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder of customer workbooks."""
     path = new_folder(spark, "customers-xlsx")
@@ -412,7 +438,9 @@ def queries() -> dict[str, Query]:
         "catalog_tables": catalog_tables,
         "row_counts": row_counts,
         "csv_scan": csv_scan,
+        "csv_mixed_headers": csv_mixed_headers,
         "json_scan": json_scan,
+        "json_broken_records": json_broken_records,
         "xlsx_scan": xlsx_scan,
         "ingest_products": ingest_products,
         "report_pack": report_pack,

@@ -11,7 +11,7 @@ from saleslake.queries.workbooks import workbook_bytes, write_workbooks
 from saleslake.schemas import CUSTOMER_FILE_SCHEMA, SOURCES, SourceSpec, struct
 from saleslake.schemas import DATE, INT, MONEY, STRING
 from saleslake.sources import read_source
-from saleslake.sources.files import source_for
+from saleslake.sources.files import read_records, source_for
 
 
 def test_csv_is_text_named_by_its_header(spark, tmp_path):
@@ -32,14 +32,41 @@ def test_csv_with_schema_checks_the_header(spark, tmp_path):
         read_source(spark, swapped, str(path)).collect()
 
 
-def test_csv_folder_with_another_column_order_fails(spark, tmp_path):
+def test_csv_folder_is_read_by_column_names(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Product ID,Category\nP1,C1\n")
     (tmp_path / "b.csv").write_text("Product ID,Category\nP2,C2\n")
     rows = read_source(spark, "Product.csv", str(tmp_path)).collect()
     assert sorted(map(tuple, rows)) == [("P1", "C1"), ("P2", "C2")]
-    (tmp_path / "b.csv").write_text("Category,Product ID\nC2,P2\n")
-    with pytest.raises(Exception, match="header"):
-        read_source(spark, "Product.csv", str(tmp_path)).collect()
+    (tmp_path / "b.csv").write_text('Category,Product ID\n"C,2",P2\n')
+    (tmp_path / "c.csv").write_text("Category,Product ID\nC3,P3\n")
+    found = read_source(spark, "Product.csv", str(tmp_path))
+    rows = [(row["Product ID"], row["Category"]) for row in found.collect()]
+    assert sorted(rows) == [("P1", "C1"), ("P2", "C,2"), ("P3", "C3")]
+    typed = SourceSpec("p.csv", "csv", "t", struct(**{"Product ID": STRING, "Category": STRING}))
+    found = read_source(spark, typed, str(tmp_path))
+    assert found.columns == ["Product ID", "Category"] and sorted(map(tuple, found.collect())) == sorted(rows)
+    (tmp_path / "c.csv").write_text("Category,Other\nC3,P3\n")
+    with pytest.raises(ValueError, match="are not those of the other files"):
+        read_source(spark, "Product.csv", str(tmp_path))
+
+
+def test_broken_records_come_apart(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"a": 1, "b": "x"}\n{"a": 2\nnothing\n{"a": "y", "b": "z"}\n')
+    spec = SourceSpec("a.json", "json", "t", struct(a=INT, b=STRING))
+    good, broken = read_records(spark, spec, str(tmp_path / "a.json"))
+    assert [tuple(row) for row in good.collect()] == [(1, "x")]
+    assert sorted(map(tuple, broken.collect())) == sorted(
+        (text, "a.json") for text in ('{"a": 2', "nothing", '{"a": "y", "b": "z"}')
+    )
+    (tmp_path / "b.csv").write_text("a,b\n1,x\ny,z\n2,u,v\n")
+    spec = SourceSpec("b.csv", "csv", "t", struct(a=INT, b=STRING))
+    good, broken = read_records(spark, spec, str(tmp_path / "b.csv"))
+    assert [tuple(row) for row in good.collect()] == [(1, "x")]
+    assert sorted(row[0] for row in broken.collect()) == ["2,u,v", "y,z"]
+    with pytest.raises(FileNotFoundError):
+        read_records(spark, spec, str(tmp_path / "none.csv"))
+    with pytest.raises(ValueError, match="not read by records"):
+        read_records(spark, "Product.csv", str(tmp_path))
 
 
 def test_csv_without_header(spark, tmp_path):
