@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,3 +47,23 @@ def unpacked(df: DataFrame, columns: list[str], replaced: dict[str, Column], nam
             (replaced[c] if c in replaced else F.col(f"{name}.`{c}`")).alias(c) for c in columns
         )
     )
+
+
+def lowest_reached(
+    held: np.ndarray, x: np.ndarray, y: np.ndarray, same: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id that each of the ids `x` and `y` is connected to, itself included.
+
+    `held` tells which of `x` (rows) and `y` (columns) are linked; with `same`, `x` and `y` are
+    the same ids.
+    """
+    low_x, low_y = x.copy(), y.copy()
+    far = np.iinfo(np.int64).max
+    while True:
+        new_y = np.minimum(low_y, np.where(held, low_x[:, None], far).min(axis=0))
+        new_x = np.minimum(low_x, np.where(held, new_y[None, :], far).min(axis=1))
+        if same:
+            new_x = new_y = np.minimum(new_x, new_y)
+        if (new_x == low_x).all() and (new_y == low_y).all():
+            return low_x, low_y
+        low_x, low_y = new_x, new_y
