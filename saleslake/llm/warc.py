@@ -281,7 +281,8 @@ def _record_batch(batch: pa.RecordBatch, bodies: bool) -> Iterator[pa.RecordBatc
         size = 0
         for record in read_arc(_opened(content.as_py())):
             found = to_warc(record)
-            page = _PAGE.search(record.body[:4096])
+            # in the response's head only: a payload may hold such a line, too
+            page = _PAGE.search(record.body, 0, record.body.find(b"\r\n\r\n") + 2)
             digest = found.headers["WARC-Payload-Digest"].removeprefix("sha1:")
             rows.append((
                 int(page[1]) if page else None, found.headers["WARC-Record-ID"],

@@ -217,7 +217,9 @@ def test_a_legacy_file_becomes_warc(version):
 def test_pages_come_back_from_archives(spark, least):
     rows = [(5, "http://a/1", "same payload"), (3, "http://a/2", "same payload"), (9, None, None),
             (8, "x y", ""), (7, "https://b", "é🎉\r\n\r\nx\n"), (3, "http://a/2", "same payload"),
-            (None, "http://n", "same payload"), (11, "http://c", "abc"), (12, "http://c", "abc")]
+            (None, "http://n", "same payload"), (11, "http://c", "abc"), (12, "http://c", "abc"),
+            (None, "http://n", "a\r\nX-Page-Id: 77\r\n\r\nb"),
+            (78, "http://n", "a\r\nX-Page-Id: 77\r\n\r\nb")]
     frame = spark.createDataFrame([(*r, 1) for r in rows],
                                   "page_id long, url string, html string, digest int")
     got = warc.archive_pages(frame.repartition(3), least_bytes=least, version=2).collect()
