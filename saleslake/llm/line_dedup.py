@@ -67,7 +67,8 @@ def drop_boilerplate(
 
     A null text stays null, and a text of boilerplate alone becomes empty. `length_column`
     is brought in line for texts that change; with `count` the columns `n_lines` and
-    `n_dropped` follow. Repeated rows count as pages of their own.
+    `n_dropped` follow, in place of columns of these names. Repeated rows count as pages of their
+    own. Texts of any length are taken whole.
     """
     known = boilerplate(
         pages, host_column=host_column, text_column=text_column, ratio=ratio, min_pages=min_pages
@@ -97,7 +98,8 @@ def drop_boilerplate(
     if not count:
         return unpacked(done, pages.columns, replaced)
     return done.select(
-        *((replaced[c] if c in replaced else F.col(f"row.`{c}`")).alias(c) for c in pages.columns),
+        *((replaced[c] if c in replaced else F.col(f"row.`{c}`")).alias(c)
+          for c in pages.columns if c not in ("n_lines", "n_dropped")),
         F.col("n_lines").cast("long").alias("n_lines"),
         F.col("n_dropped").cast("long").alias("n_dropped"),
     )
