@@ -251,6 +251,60 @@ def test_templates_are_rejected_by_their_labels(spark):
     assert merged["/news/{n}.html"] == merged["/blog/{n}.html"] > 0.8 > merged["/spam/{n}.html"]
 
 
+def _judged(spark, rows, good):
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame(good, "id long, good boolean")
+    return {r.id: r for r in url_filter.filter_urls(frame, labels).collect()}
+
+
+def test_deep_segments_decide(spark):
+    """Branches that part at the sixth segment are judged apart, as they are at the first."""
+    for start in ("", "a/b/c/d/e/"):
+        rows = [(k, f"http://h.net/{start}{'spam' if k % 2 else 'good'}/{k}.html") for k in range(200)]
+        got = _judged(spark, rows, [(k, k % 2 == 0) for k in range(200)])
+        assert {k for k, r in got.items() if r.verdict == "block"} == set(range(1, 200, 2))
+        assert {r.template for r in got.values()} == {
+            f"/{start}spam/{{n}}.html", f"/{start}good/{{n}}.html"
+        }
+
+
+def test_slugs_of_equal_weight_become_a_wildcard(spark):
+    words = [f"{a}{b}{c}" for a in ("red", "blue", "tall") for b in ("cat", "dog") for c in "abcdefghijklm"]
+    rows = [(k, f"http://h.net/item/{words[k % 78]}/view") for k in range(780)]
+    rows += [(1000 + k, f"http://h.net/item/top/{k}") for k in range(700)]
+    got = _judged(spark, rows, [(k, True) for k in range(0, 780, 5)])
+    assert {r.template for r in got.values()} == {"/item/*/view", "/item/top/{n}"}
+    # sections as many and as even, but of differing quality, stay apart
+    got = _judged(spark, rows, [(k, k % 78 < 39) for k in range(780)])
+    assert len({r.template for r in got.values()}) == 79
+    assert {k for k, r in got.items() if r.verdict == "block"} == {
+        k for k in range(780) if k % 78 >= 39
+    }
+
+
+def test_small_steps_do_not_chain(spark):
+    """Each branch is tested against the pool, so shares from 0 to 1 by tenths do not all merge."""
+    rows, good = [], []
+    for part in range(11):
+        for k in range(100):
+            key = part * 100 + k
+            # sections of very different sizes are no variable
+            rows += [(key + 10_000 * copy, f"http://h.net/s{'abcdefghijk'[part]}/x{copy}y")
+                     for copy in range(1 + 3 * part)]
+            good.append((key, k < 10 * part))
+    got = _judged(spark, rows, good)
+    verdicts = {part: got[part * 100].verdict for part in (0, 1, 2, 8, 9, 10)}
+    assert verdicts == {0: "block", 1: "block", 2: "block", 8: "allow", 9: "allow", 10: "allow"}
+
+
+def test_share_on_the_limit_and_repeated_rows(spark):
+    rows = [(k, f"http://h.net/p/{k}") for k in range(100)] * 2
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(k, k % 2 == 0) for k in range(100)], "id long, good boolean")
+    got = url_filter.filter_urls(frame, labels).collect()
+    assert len(got) == 200 and {(r.verdict, r.purity) for r in got} == {("allow", 0.5)}
+
+
 # --- pieces --------------------------------------------------------------------------------
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
