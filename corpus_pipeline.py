@@ -13,6 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from saleslake.llm.common import packed, unpacked
 from saleslake.llm.line_dedup import drop_boilerplate
 from saleslake.llm.ngram_join import similar_components
 from saleslake.llm.packing import pack
@@ -44,12 +45,13 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
         .distinct(),
         "corpus-chosen",
     )
-    order = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
-    named = (
-        docs.join(chosen, "doc_id", "left_semi")
-        .withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
+    order = Window.partitionBy("id").orderBy("row.text", "row.lang", "row.source", "row.n_chars")
+    whole = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), packed(docs))
+    first = (
+        whole.join(chosen.withColumnRenamed("doc_id", "id"), "id", "left_semi")
+        .withColumn("place", F.row_number().over(order)).filter("place = 1")
     )
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    return unpacked(first, docs.columns, {}).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
