@@ -34,6 +34,11 @@ HEADLINE = (
     "merge_table",
     "csv_scan",
     "json_scan",
+    "csv_mixed_headers",
+    "json_broken_records",
+    "orders_rejected",
+    "row_counts",
+    "append_batches",
     "xlsx_scan",
     "report_pack",
     "full_run",
@@ -50,7 +55,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    budget = float(os.environ.get("BENCH_QUERY_SECONDS", "8"))
+    budget = float(os.environ.get("BENCH_QUERY_SECONDS", "30"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
         "bench",
@@ -65,12 +70,13 @@ def main() -> None:
     chosen = {name: queries()[name] for name in names}
     for query in chosen.values():
         timed(spark, query, sf_dir)
-    seconds = {}
+    seconds, counted = {}, {}
     for name, query in chosen.items():
         times: list[float] = []
         while len(times) < runs and sum(times) < budget:
             times.append(timed(spark, query, sf_dir))
         seconds[name] = round(statistics.median(times), 3)
+        counted[name] = len(times)
     scale = re.search(r"sf([\d.]+)", sf_dir)
     print(
         json.dumps(
@@ -82,6 +88,7 @@ def main() -> None:
                 "sf": float(scale.group(1)) if scale else None,
                 "cpus": int(cpus),
                 "runs": runs,
+                "runs_of_each": counted,
             }
         )
     )

@@ -54,8 +54,8 @@ def build_session(
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application.
 
-    Only the workbook decoder runs in them. Spark distributes the archive itself, so it
-    need not be installed on the executors or on their path.
+    Code that runs in them is the workbook decoder and writer and the corpus operators. Spark
+    distributes the archive itself, so it need not be installed on the executors or on their path.
     """
     context = spark.sparkContext
     if context.applicationId in _shipped:
