@@ -192,6 +192,47 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
 
+# Distinct five-word shingles; texts with the same shingles once, and all that links reach.
+_NGRAM = r"""WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END)) AS s
+  FROM worded),
+named AS (SELECT doc_id, len(s) AS n, sha256(array_to_string(s, chr(10))) AS name FROM sets),
+classes AS (SELECT name, MIN(doc_id) AS id, ANY_VALUE(n) AS n FROM named WHERE n > 0 GROUP BY name),
+tokens AS (
+  SELECT c.id, c.n, unnest(s.s) AS token FROM classes c JOIN sets s ON s.doc_id = c.id),
+common AS (
+  SELECT a.id AS a, b.id AS b, a.n AS size_a, b.n AS size_b, COUNT(*) AS shared
+  FROM tokens a JOIN tokens b ON a.token = b.token AND a.id < b.id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common WHERE 100 * shared >= 80 * (size_a + size_b - shared)
+  UNION SELECT b, a FROM common WHERE 100 * shared >= 80 * (size_a + size_b - shared)),
+reached AS (
+  SELECT id AS a, id AS b FROM classes UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+lowest AS (SELECT a, MIN(b) AS low FROM reached GROUP BY a)
+SELECT d.doc_id, d.n AS n_shingles, coalesce(l.low, d.doc_id) AS component_id
+FROM named d LEFT JOIN classes c ON c.name = d.name AND d.n > 0 LEFT JOIN lowest l ON l.a = c.id"""
+
+# A SHA-1 digest in base 32: eight times four letters from 20 bits.
+_BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(hex, 1 + 5 * (k // 4), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31), 1)
+    FOR k IN range(32)], '')"""
+_WARC = f"""WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+firsts AS (SELECT html, MIN(page_id) AS first FROM payloads GROUP BY html),
+hashed AS (SELECT p.page_id, octet_length(encode(p.html)) AS bytes, sha1(p.html) AS hex, f.first
+  FROM payloads p JOIN firsts f ON f.html = p.html)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed"""
+
 # Every pair of a label, and all that can be reached from each vector.
 _NEAR_VECTORS = """WITH RECURSIVE whole AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v
@@ -267,7 +308,9 @@ def oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can express."""
     return {
         "op2_line_dedup": _LINE_DEDUP,
+        "op3_ngram_jaccard_join": _NGRAM,
         "op7_top_k_search": _top_k_sql(),
+        "op8_warc": _WARC,
         "op12_conversation_prefix_trie": _TRIE,
         "op13_embedding_near_dedup": _NEAR_VECTORS,
     }
