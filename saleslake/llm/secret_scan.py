@@ -2,9 +2,10 @@
 
 The method reads a text as source or configuration syntax. Wherever a name is followed by
 an assignment sign, the right side is lexed into literals and names: quoted strings with
-escapes, strings put together with `+` or by standing side by side, bare words, and
-references to names assigned earlier. Constants are propagated through such references, so
-`k = "abc..."; password = k` marks the literal of `k`. A literal is scored by how sensitive
+escapes and prefixes, put together by operators or by standing side by side, in brackets, lists
+and arguments of calls, bare words, and references to names. Elements, attributes, options
+of commands and indented blocks give names and literals as well. Constants are propagated through
+references, before or after their use, so `k = "abc..."; password = k` marks the literal of `k`. A literal is scored by how sensitive
 the names are that it reaches and by how much it looks like a generated value; prose after
 a colon, placeholders and template variables stay below the threshold.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -60,16 +62,35 @@ def base_spans(text: str) -> list[Span]:
 
 
 # A target: an identifier, a dotted path, a quoted key or the last key of an index, and
-# the sign after it. `==`, `!=`, `<=`, `>=` and `://` assign nothing.
+# the sign after it. `==`, `!=`, `<=`, `>=` and `://` assign nothing. A name is tried once, from
+# its start, so long names and wide gaps cost no more than their length.
+_START = r"(?<![A-Za-z0-9_.\-])-*+(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*+)"
 _TARGET = re.compile(
-    r"""(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,79})["'\]\)]{0,3}[ \t]{0,20}(?::=|=>|=(?![=~])|:(?![:/]{1,2}))[ \t]{0,20}"""
+    _START + r"""["'\]\)]*+[ \t]*+(?::=|=>|=(?![=~])|:(?![:/]{1,2}))[ \t]*+"""
 )
 _STRING = re.compile(
-    r'''"""(?P<d3>(?:[^"\\]|\\.|"(?!""))*)"""|"(?P<d>(?:[^"\\\n]|\\.)*)"|'(?P<s>(?:[^'\\\n]|\\.)*)'|`(?P<b>[^`\n]*)`'''
+    r'''[A-Za-z]{0,2}(?:"""(?P<d3>(?:[^"\\]|\\.|"(?!""))*+)"""|"(?P<d>(?:[^"\\\n]|\\.)*+)"|'(?P<s>(?:[^'\\\n]|\\.)*+)'|`(?P<b>[^`\n]*+)`)'''
 )
 _BARE = re.compile(r"[^\s\"'`,;(){}\[\]<>#]+")
-_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]{0,79}\Z")
-_JOIN = re.compile(r"[ \t]*(?:[+.][ \t]*)?(?=[\"'`])")
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*+")
+_NUMBER = re.compile(r"[0-9][A-Za-z0-9_.]*+")
+_GAP = re.compile(r"[ \t]*+")
+_WIDE_GAP = re.compile(r"\s*+")
+_OPERATOR = re.compile(r"\|\||\?\?|[+.&%]")
+# Pairs that other syntax writes without a sign: elements, attributes, options, indented blocks.
+_ELEMENT = re.compile(
+    r"<(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*+)(?:\s[^<>]*+)?>\s*+(?P<value>[^<>]*?)\s*</(?P=name)>"
+)
+_ATTRIBUTES = re.compile(
+    r"""\b(?:key|name|id)\s*+=\s*+["'](?P<name>[^"'<>\n]++)["']\s++value\s*+=\s*+["'](?P<value>[^"'<>\n]*+)["']"""
+)
+_OPTION = re.compile(
+    r"""(?<![A-Za-z0-9_\-])--(?P<name>[A-Za-z][A-Za-z0-9_\-]*+)[ \t]++["']?(?P<value>[^\s"'\-][^\s"']*+)"""
+)
+_BLOCK = re.compile(
+    r"(?m)^(?P<indent>[ \t]*+)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*+)[ \t]*+:[ \t]*+[|>][+\-]?[ \t]*+\n"
+    r"(?P<value>(?:(?P=indent)[ \t]++[^\n]++\n?)++)"
+)
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 # How much a word of a name says that its value is secret. Words in `_WEAK`
@@ -122,63 +143,151 @@ def literal_score(value: str) -> float:
 
 @dataclass
 class _Value:
-    """What a name holds: its literals, and the most sensitive name they have reached."""
-
-    spans: tuple[tuple[int, int], ...]
-    text: str
-    quoted: bool
-
-
-def _right_side(text: str, at: int, known: dict[str, _Value]) -> tuple[_Value | None, int]:
-    """The value at a position, and where it ends."""
-    spans, parts = [], []
-    while found := _STRING.match(text, at):
-        group = found.lastgroup
-        spans.append(found.span(group))
-        parts.append(found.group(group))
-        at = found.end()
-        more = _JOIN.match(text, at)
-        if not more:
+    """One value on a right side: its literals and the names it refers to, in order.
+
+    `word` is the whole of an unquoted value, which is meant if it names nothing.
+    """
+
+    parts: list[tuple[int, int] | str]
+    quoted: bool = False
+    called: bool = False
+    word: tuple[int, int] | None = None
+
+
+def _right_side(text: str, at: int) -> tuple[list[_Value], int]:
+    """The values at a position, and where they end.
+
+    An expression is strings, with prefixes, names and numbers, joined by operators or by
+    standing side by side, in brackets or as arguments of calls; values in brackets are parted
+    by commas. Without a string or a name the value is a bare word.
+    """
+    values, depth, operand, end = [_Value([])], 0, False, at
+    while True:
+        at = (_WIDE_GAP if depth else _GAP).match(text, at).end()
+        sign = text[at : at + 1]
+        if found := _STRING.match(text, at):
+            values[-1].parts.append(found.span(found.lastgroup))
+            values[-1].quoted = operand = True
+            at = end = found.end()
+        elif sign in ("(", "[", "{") and sign:
+            if operand and sign != "(":
+                break
+            depth, operand, at = depth + 1, False, at + 1
+        elif sign in (")", "]", "}") and sign and depth:
+            depth, operand, at = depth - 1, True, at + 1
+            end = at
+        elif sign == "," and depth:
+            values.append(_Value([], called=values[-1].called))
+            operand, at = False, at + 1
+        elif operand and (found := _OPERATOR.match(text, at)):
+            operand, at = False, found.end()
+        elif not operand and (found := _NAME.match(text, at)):
+            at = found.end()
+            if text[at : at + 1] == "(":
+                values[-1].called = True
+            else:
+                values[-1].parts.append(found.group().rstrip("."))
+                operand = True
+        elif not operand and (found := _NUMBER.match(text, at)):
+            operand, at = True, found.end()
+        else:
             break
-        at = more.end()
-    if spans:
-        return _Value(tuple(spans), "".join(parts), True), at
-    bare = _BARE.match(text, at)
-    if not bare:
-        return None, at
-    word, end = bare.group(), bare.end()
-    plain = word.rstrip(".:")
-    if _NAME.match(plain) and plain in known:
-        return known[plain], end
-    return _Value(((at, at + len(word)),), word, False), end
+    return values, end
+
+
+def _assignments(text: str) -> Iterator[tuple[str, _Value]]:
+    """Names and what they are given, in order."""
+    at = 0
+    while target := _TARGET.search(text, at):
+        values, end = _right_side(text, target.end())
+        at = max(target.end(), end)
+        name = target.group("name").rstrip(".-")
+        quoted = any(value.quoted for value in values)
+        if not quoted:
+            at = target.end()
+            bare = _BARE.match(text, at)
+            if bare:
+                word = bare.group().rstrip(".:")
+                parts = [word] if _NAME.fullmatch(word) else []
+                yield name, _Value(parts or [bare.span()], word=bare.span())
+                continue
+        for value in values:
+            if value.parts:
+                yield name, value
+
+
+def _pairs(text: str) -> Iterator[tuple[str, _Value]]:
+    """Names and values of syntax without a sign of assignment."""
+    for given, pattern, quoted in (
+        ("</", _ELEMENT, True), ("value", _ATTRIBUTES, True), ("--", _OPTION, False),
+    ):
+        if given in text:
+            for found in pattern.finditer(text):
+                yield found.group("name"), _Value([found.span("value")], quoted)
+    if "|\n" in text or ">\n" in text or "|" in text:
+        for found in _BLOCK.finditer(text):
+            start = found.start("value")
+            lines = [
+                (start + line.start(), start + line.end())
+                for line in re.finditer(r"\S+", found.group("value"))
+            ]
+            yield found.group("name"), _Value(lines, True)
+
+
+def _literals(
+    value: _Value, at: int, places: dict[str, list[int]], given: list[tuple[str, _Value]]
+) -> list[tuple[int, int]]:
+    """The literals of a value, through the names it refers to, each once.
+
+    A name means what it was given last before, else what it is given first after.
+    """
+    spans: dict[tuple[int, int], None] = {}
+    seen, waiting = {at}, [(at, part) for part in reversed(value.parts)]
+    while waiting:
+        here, part = waiting.pop()
+        if not isinstance(part, str):
+            spans[part] = None
+            continue
+        word = given[here][1].word
+        found = places.get(part) or places.get(part.rpartition(".")[2]) or []
+        if found:
+            before = bisect_left(found, here)
+            there = found[before - 1] if before else found[0]
+            if there not in seen:
+                seen.add(there)
+                waiting += [(there, x) for x in reversed(given[there][1].parts)]
+        elif word:
+            spans[word] = None
+    return list(spans)
 
 
 def literal_spans(text: str) -> list[Span]:
     """Literals that sensitive names hold, directly or through other names.
 
-    Assignments are read from left to right and a name means its latest value. An unquoted
-    value must carry a digit, or an ordinary word after `secret:` would count.
+    Names are given values by signs of assignment, by elements and attributes, by options of
+    commands and by indented blocks. An unquoted value, and one that is an argument of a call,
+    must carry a digit, or an ordinary word after `secret:` would count.
     """
-    if ":" not in text and "=" not in text:
+    if ":" not in text and "=" not in text and "--" not in text and "</" not in text:
         return []
-    known: dict[str, _Value] = {}
+    given = [*_assignments(text), *_pairs(text)]
+    places: dict[str, list[int]] = {}
+    for at, (name, _) in enumerate(given):
+        places.setdefault(name, []).append(at)
+        if "." in name:
+            places.setdefault(name.rpartition(".")[2], []).append(at)
     marked: set[tuple[int, int]] = set()
-    at = 0
-    while target := _TARGET.search(text, at):
-        value, end = _right_side(text, target.end(), known)
-        at = max(target.end(), end if value is not None and value.quoted else target.end())
-        if value is None:
-            continue
-        name = target.group("name").rstrip(".-")
-        known[name] = value
-        known[name.rpartition(".")[2]] = value
+    for at, (name, value) in enumerate(given):
         sensitive = name_score(name)
         if not sensitive:
             continue
-        if not value.quoted and not any("0" <= c <= "9" for c in value.text):
+        spans = _literals(value, at, places, given)
+        whole = "".join(text[start:end] for start, end in spans)
+        bare = not value.quoted and spans in ([], [value.word])
+        if (value.called or bare) and not any("0" <= c <= "9" for c in whole):
             continue
-        if sensitive + literal_score(value.text) >= THRESHOLD:
-            marked.update(span for span in value.spans if span[1] > span[0])
+        if sensitive + literal_score(whole) >= THRESHOLD:
+            marked.update(span for span in spans if span[1] > span[0])
     return [("literal", start, end) for start, end in sorted(marked)]
 
 

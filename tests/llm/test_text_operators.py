@@ -70,6 +70,21 @@ def test_secrets_are_the_base_matches_and_more(spark):
     ('cfg["auth_token"] = "tok_" + "9f8e7d6c5b"', "9f8e7d6c5b"),
     ("export DB_PWD=s3cr3tPassw0rd!", "s3cr3tPassw0rd!"),
     ('a = "qW3rT9yU"\nb = a\nconn.password = b', "qW3rT9yU"),
+    ('password = prefix + "Zx81-kQpL99v"', "Zx81-kQpL99v"),
+    ('password = ("Zx81-kQpL99v")', "Zx81-kQpL99v"),
+    ('password = vault.get("Zx81-kQpL99v")', "Zx81-kQpL99v"),
+    ('password = f"Zx81-kQpL99v"', "Zx81-kQpL99v"),
+    ("password = u'Zx81-kQpL99v'", "Zx81-kQpL99v"),
+    ('secrets = ["abc", "Zx81-kQpL99v"]\npassword = secrets', "Zx81-kQpL99v"),
+    ('db_secret = [\n  "Zx81-kQpL99v",\n]', "Zx81-kQpL99v"),
+    ("<password>Zx81-kQpL99v</password>", "Zx81-kQpL99v"),
+    ('<add key="db_password" value="Zx81-kQpL99v"/>', "Zx81-kQpL99v"),
+    ("password: |\n  Zx81-kQpL99v\nuser: me", "Zx81-kQpL99v"),
+    ("mysql --password Zx81-kQpL99v -u me", "Zx81-kQpL99v"),
+    ("mysql --password=Zx81-kQpL99v -u me", "Zx81-kQpL99v"),
+    ('db_password = KEY\nKEY = "Zx81-kQpL99v"', "Zx81-kQpL99v"),
+    ("db_pwd" + " " * 25 + '= "Zx81-kQpL99v"', "Zx81-kQpL99v"),
+    ("a" * 300 + '_password = "Zx81-kQpL99v"', "Zx81-kQpL99v"),
 ])
 def test_literals_of_sensitive_names(text, secret):
     assert secret in [text[s:e] for _, s, e in secret_scan.literal_spans(text)]
@@ -78,12 +93,21 @@ def test_literals_of_sensitive_names(text, secret):
 @pytest.mark.parametrize("text", [
     "The password: please choose a long one.", 'name = "Zx81kQpL99v"', 'password = "changeme"',
     "token = ${TOKEN_9}", "secret: yes", 'public_key_file = "id_9A.pub"', "url = http://a.b/c9D8e7",
-    'color: "Zx81kQpL99v"', "a == 'b'",
+    'color: "Zx81kQpL99v"', "a == 'b'", 'password = os.getenv("DB_PASSWORD")', "a = b\nb = a\npassword = a",
+    "<p>The password: see 9 below</p>", "use --password or --token here", "password = (", "secret: |",
 ])
 def test_harmless_assignments(text):
     assert secret_scan.literal_spans(text) == []
 
 
+def test_long_texts_are_lexed_in_one_go():
+    for text in ("a=(" * 50_000, "password = " + "(" * 100_000, "x" * 400_000, "k: " * 80_000,
+                 "password" + " " * 400_000, "<a>" * 60_000, 'a = "' * 50_000, "--a " * 80_000):
+        secret_scan.literal_spans(text)
+    chain = "\n".join(f"k{n} = k{n + 1}" for n in range(3000)) + '\nk3000 = "Zx81-kQpL99v"\npassword = k0'
+    assert len(secret_scan.literal_spans(chain)) == 1
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     frame = docs(spark, [(k, t, "en", "s") for k, t in enumerate(SECRETS)])
     done = secret_scan.redact(frame, length_column="n_chars")
