@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saleslake.plans.staging import stored
+
 
 def summarize(transactions: DataFrame) -> DataFrame:
     """Profit by order year, category, sub-category and customer.
@@ -47,6 +49,33 @@ def profit_by_customer_year(summary: DataFrame) -> DataFrame:
     return _report(summary, ["customer_name", "year"], "total_profit_by_customer_and_year")
 
 
+def ranked(rows: DataFrame, keys: list[str], rank: str = "place") -> DataFrame:
+    """The rows with their place in the order of the keys, NULL first, from 1.
+
+    The order survives a write: rows are dealt by ranges of the keys, sorted and stored, one file
+    after the other, and a row's place is its number in its range after all rows of the ranges
+    before. The driver gets a count for each range; no task sees more than a range. Rows with
+    equal keys have neighbouring places in any order, and lie in one range.
+    """
+    at = F.monotonically_increasing_id()  # the range above, the number in it in the lower bits
+    held = stored(
+        rows.repartitionByRange(*(F.asc_nulls_first(key) for key in keys))
+        .sortWithinPartitions(*(F.asc_nulls_first(key) for key in keys))
+        .select("*", F.shiftright(at, 33).alias("_range"),
+                at.bitwiseAND(F.lit((1 << 33) - 1)).alias("_number")),
+        "ranked",
+    )
+    counts = sorted(tuple(row) for row in held.groupBy("_range").count().collect())
+    before, starts = 0, []
+    for part, count in counts:
+        starts.append((part, before))
+        before += count
+    offsets = rows.sparkSession.createDataFrame(starts, "_range long, _before long")
+    return held.join(offsets, "_range").select(
+        *rows.columns, (F.col("_before") + F.col("_number") + 1).alias(rank)
+    )
+
+
 REPORTS = {
     "profit_by_year": profit_by_year,
     "profit_by_year_category": profit_by_year_category,

@@ -262,6 +262,12 @@ def oracle_sql() -> dict[str, str]:
         "profit_by_customer_year": _report(
             summary, "customer_name, year", "total_profit_by_customer_and_year"
         ),
+        "profit_by_customer_year_ranked": (
+            "SELECT *, row_number() OVER (ORDER BY customer_name NULLS FIRST, year NULLS FIRST)"
+            " AS place FROM (" + _report(
+                summary, "customer_name, year", "total_profit_by_customer_and_year"
+            ) + ") AS report"
+        ),
         "orders_with_customers": _sql(
             ("orders_in", "customers_in"),
             "SELECT row_id, order_id, customer_id, customer_name, country"

@@ -34,7 +34,7 @@ from saleslake.functions.quality import (
 )
 from saleslake.operators import enrich, join_customers, join_products, merge_upsert, summarize
 from saleslake.operators.merge import tag_merge
-from saleslake.operators.summary import REPORTS, all_reports
+from saleslake.operators.summary import REPORTS, all_reports, ranked
 from saleslake.plans import catalog
 from saleslake.plans.pipeline import BUCKETS, SalesFiles, ingest, refresh_summary, run_pipeline
 from saleslake.plans.staging import new_folder, stored
@@ -87,6 +87,12 @@ def _report(name: str) -> Query:
     return run
 
 
+def profit_by_customer_year_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report with each row's place in its order."""
+    report = REPORTS["profit_by_customer_year"](sales_summary(spark, sf_dir))
+    return ranked(report, ["customer_name", "year"])
+
+
 def orders_with_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1."""
     return join_customers(
@@ -412,6 +418,7 @@ def queries() -> dict[str, Query]:
     return {
         "sales_summary": sales_summary,
         **{name: _report(name) for name in REPORTS},
+        "profit_by_customer_year_ranked": profit_by_customer_year_ranked,
         "orders_with_customers": orders_with_customers,
         "orders_with_products": orders_with_products,
         "transactions": transactions,

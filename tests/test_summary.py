@@ -8,6 +8,7 @@ from conftest import final_plan
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from saleslake.operators import summary
 from saleslake.operators.summary import (
     REPORTS,
     profit_by_customer,
@@ -111,3 +112,16 @@ def test_hot_group_is_combined_before_the_shuffle(spark):
     assert plan.index("functions=[partial_sum") > plan.index("Exchange hashpartitioning")
     assert plan.count("Exchange") - plan.count("ReusedExchange") == 1
     assert max(row.total_profit for row in out.collect()) == 10_000
+
+
+def test_places_follow_the_order_over_ranges(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false",
+         spark__sql__shuffle__partitions="6")
+    rows = [(None if k % 9 == 0 else f"n{k * 37 % 100:03d}", k % 4 or None) for k in range(300)]
+    df = spark.createDataFrame(rows, "name string, year int").repartition(5)
+    got = summary.ranked(df, ["name", "year"]).collect()
+    assert sorted(row.place for row in got) == list(range(1, 301))
+    in_order = [(row.name, row.year) for row in sorted(got, key=lambda row: row.place)]
+    low = lambda row: tuple((x is not None, x or 0) for x in row)
+    assert in_order == sorted(rows, key=low)
+    assert summary.ranked(df.limit(0), ["name"]).collect() == []
