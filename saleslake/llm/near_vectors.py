@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.llm.common import map_batches
+from saleslake.llm.common import lowest_reached, map_batches
 from saleslake.llm.ngram_join import components
 from saleslake.plans.staging import stored
 
@@ -108,9 +108,16 @@ def _reaches(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
 def _near_hub(batch: pa.RecordBatch, least: float) -> Iterator[pa.RecordBatch]:
     """Rows of a class and a hub whose cosine reaches the threshold."""
     held = np.zeros(batch.num_rows, dtype=bool)
-    hubs = {tuple(at): unit for at, unit in _matrix(batch.column("hub_vec"))}
+    hubs = {}
+    for at, unit in _matrix(batch.column("hub_vec")):
+        place = np.full(batch.num_rows, -1)
+        place[at] = np.arange(len(at))
+        hubs[unit.shape[1]] = place, unit
     for at, unit in _matrix(batch.column("vec")):
-        held[at] = (unit * hubs[tuple(at)]).sum(axis=1) >= least
+        # signatures of different dimensions may be equal by chance
+        place, others = hubs.get(unit.shape[1], (np.full(batch.num_rows, -1), unit))
+        both = place[at] >= 0
+        held[at[both]] = (unit[both] * others[place[at[both]]]).sum(axis=1) >= least
     keep = pa.array(held)
     yield pa.RecordBatch.from_arrays(
         [batch.column("cid").filter(keep), batch.column("hub").filter(keep)], ["cid", "hub"]
@@ -222,7 +229,7 @@ def _grid(batch: pa.RecordBatch, least: float, fine: float) -> Iterator[pa.Recor
             low, high = lows[spot][:, block], highs[spot][:, block]
             reach = math.sqrt((2 - 2 * least) * low.shape[1] / dim) + _SLACK
             # 256 cells of a block's coordinate are enough for any width
-            width = max(fine * 4 / math.sqrt(dim), 1.5 * reach, 1 / 100)
+            width = max(fine * 8 / math.sqrt(dim), 1.5 * reach, 1 / 100)
             rows, cell, inside = _cells(low, high, reach, width)
             names = ["unit", "label", "dim", "block", "reach", "cell", "home"]
             arrays = [
@@ -313,16 +320,7 @@ def _chunk_links(batch: pa.RecordBatch, least: float) -> Iterator[pa.RecordBatch
             np.fill_diagonal(held, False)
         if not held.any():
             continue
-        low_x, low_y = rx.copy(), ry.copy()
-        far = np.iinfo(np.int64).max
-        while True:
-            new_y = np.minimum(low_y, np.where(held, low_x[:, None], far).min(axis=0))
-            new_x = np.minimum(low_x, np.where(held, new_y[None, :], far).min(axis=1))
-            if same[at]:
-                new_x = new_y = np.minimum(new_x, new_y)
-            if (new_x == low_x).all() and (new_y == low_y).all():
-                break
-            low_x, low_y = new_x, new_y
+        low_x, low_y = lowest_reached(held, rx, ry, bool(same[at]))
         for cid, rep, low, links in (
             (cx, rx, low_x, (held * wy[None, :]).sum(axis=1)),
             (cy, ry, low_y, (held * wx[:, None]).sum(axis=0)),
@@ -348,7 +346,9 @@ def _verified(units: DataFrame, sizes: DataFrame, pairs: DataFrame, least: float
     chunks = stored(
         units.join(sizes.select("unit", "members"), "unit")
         .join(asked.distinct(), "unit", "left_semi")
-        .groupBy("unit", chunk_of.alias("chunk"))
+        .withColumn("chunk", chunk_of)
+        # dealt by the chunk as well, or the join's partitioning would put a unit into one task
+        .repartition("unit", "chunk").groupBy("unit", "chunk")
         .agg(F.collect_list(F.struct("cid", "rep", "weight", "vec")).alias("x"))
         .select("unit", F.struct("unit", "chunk").alias("name"), "x"),
         "vector-chunks",
