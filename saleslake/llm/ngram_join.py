@@ -319,9 +319,11 @@ def _in_chunks(texts: DataFrame, members: DataFrame, pool: list[str]) -> DataFra
     )
     rows = stored(texts.join(members, "id"), "ngram-chunk-texts")
     sizes = rows.groupBy(*pool).agg(number.alias("chunks"))
+    # dealt by the salt as well, or the join's partitioning would put a pool into one task
     return (
         rows.join(sizes, pool)
-        .groupBy(*pool, F.pmod(F.xxhash64("id"), "chunks").alias("salt"))
+        .withColumn("salt", F.pmod(F.xxhash64("id"), "chunks"))
+        .repartition(*pool, "salt").groupBy(*pool, "salt")
         .agg(F.collect_list(F.struct("id", "component", "text")).alias("x"))
     )
 
