@@ -395,6 +395,14 @@ UNION ALL SELECT NULL, NULL, NULL, '{"Row ID": ' || CAST(row_id AS VARCHAR)
 FROM raw_orders WHERE row_id % 97 = 0"""),
         "json_scan": _sql(("raw_orders",), "SELECT * FROM raw_orders"),
         "xlsx_scan": _sql(("raw_customers",), "SELECT * FROM raw_customers"),
+        "xlsx_scan_inferred": _sql(("raw_customers",), "SELECT * FROM raw_customers"),
+        "xlsx_types": """
+            SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice,
+                   CAST(o_orderdate AS DATE) AS o_orderdate, o_custkey % 2 = 0 AS even,
+                   CASE WHEN o_orderkey % 1000 = 0 THEN 'none'
+                        ELSE CAST(o_custkey AS VARCHAR) END AS mixed
+            FROM orders
+        """,
         "ingest_products": _sql(
             ("raw_products",),
             "SELECT *, DATE '2020-01-01' AS created_dt, 'system_user' AS created_by"

@@ -40,7 +40,7 @@ from saleslake.plans.pipeline import BUCKETS, SalesFiles, ingest, refresh_summar
 from saleslake.plans.staging import new_folder, stored
 from saleslake.queries import inputs
 from saleslake.queries.workbooks import write_workbooks
-from saleslake.schemas import SUMMARY_KEYS, TABLES
+from saleslake.schemas import SUMMARY_KEYS, TABLES, SourceSpec
 from saleslake.sources import read_source
 from saleslake.sources.files import read_records
 
@@ -383,6 +383,27 @@ def xlsx_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize_names(read_source(spark, "Customer.xlsx", path))
 
 
+def xlsx_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same workbooks without a declared schema; columns and types come from the cells."""
+    path = new_folder(spark, "customers-xlsx-inferred")
+    write_workbooks(_customer_file(spark, sf_dir), path)
+    return standardize_names(read_source(spark, SourceSpec("any.xlsx", "xlsx", "raw"), path))
+
+
+def xlsx_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as workbooks with typed cells, read without a declared schema."""
+    path = new_folder(spark, "orders-xlsx-typed")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double"),
+        F.col("o_orderdate").cast("date"), (F.col("o_custkey") % 2 == 0).alias("even"),
+        # whole numbers in most rows and texts in the others: the column is text
+        F.when(F.col("o_orderkey") % 1000 == 0, F.lit("none"))
+        .otherwise(F.col("o_custkey").cast("string")).alias("mixed"),
+    )
+    write_workbooks(orders, path)
+    return read_source(spark, SourceSpec("any.xlsx", "xlsx", "raw"), path)
+
+
 def ingest_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan, rename and stamp."""
     path = new_folder(spark, "products-csv")
@@ -449,6 +470,8 @@ def queries() -> dict[str, Query]:
         "json_scan": json_scan,
         "json_broken_records": json_broken_records,
         "xlsx_scan": xlsx_scan,
+        "xlsx_scan_inferred": xlsx_scan_inferred,
+        "xlsx_types": xlsx_types,
         "ingest_products": ingest_products,
         "report_pack": report_pack,
         "full_run": full_run,

@@ -6,9 +6,12 @@ lost task replaces the same files with the same content.
 
 from __future__ import annotations
 
+import datetime as dt
 import io
+import math
 import zipfile
 from collections.abc import Iterator
+from decimal import Decimal
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
@@ -23,13 +26,33 @@ _RELS = "http://schemas.openxmlformats.org/package/2006/relationships"
 _DOC = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 
 
+#: Cell styles 0 to 2: a number, a date, a date with its time.
+_STYLES = (
+    f'<styleSheet xmlns="{_MAIN}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/>'
+    '<xf numFmtId="22"/></cellXfs></styleSheet>'
+)
+_DAY_0, _FIRST_DAY = dt.datetime(1899, 12, 30), dt.datetime(1900, 3, 1)
+
+
+def _cell(value) -> str:
+    """A cell of the value's own kind; what the format has no number for is text."""
+    if value is None:
+        return "<c/>"
+    if isinstance(value, bool):
+        return f'<c t="b"><v>{int(value)}</v></c>'
+    if isinstance(value, int | float | Decimal) and math.isfinite(value):
+        return f"<c><v>{value}</v></c>"
+    if isinstance(value, dt.date):
+        timed = isinstance(value, dt.datetime)
+        moment = value.replace(tzinfo=None) if timed else dt.datetime.combine(value, dt.time())
+        if moment >= _FIRST_DAY:
+            days = Decimal((moment - _DAY_0) // dt.timedelta(microseconds=1)) / 86_400_000_000
+            return f'<c s="{1 + timed}"><v>{days}</v></c>'
+    return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
+
+
 def _row(values) -> str:
-    cells = (
-        "<c/>" if value is None
-        else f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
-        for value in values
-    )
-    return f"<row>{''.join(cells)}</row>"
+    return f"<row>{''.join(map(_cell, values))}</row>"
 
 
 def workbook_bytes(names: list[str], rows) -> bytes:
@@ -47,6 +70,7 @@ def workbook_bytes(names: list[str], rows) -> bytes:
             f'<Relationships xmlns="{_RELS}"><Relationship Id="rId1"'
             f' Type="{_DOC}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
         )
+        book.writestr("xl/styles.xml", _STYLES)
         book.writestr(
             "xl/worksheets/sheet1.xml",
             f'<worksheet xmlns="{_MAIN}"><sheetData>{sheet}</sheetData></worksheet>',

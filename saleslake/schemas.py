@@ -206,8 +206,8 @@ ENGINE_TABLES = MappingProxyType(
 class SourceSpec:
     """How to read one kind of raw file.
 
-    Without a schema, CSV columns are all strings named by the header row. JSON and
-    XLSX always need one, so no pass over the data is spent on inference.
+    Without a schema, CSV columns are all strings named by the header row, and columns of
+    XLSX are inferred from all cells by a pass of its own. JSON always needs one.
     """
 
     name: str

@@ -4,6 +4,10 @@ Spark lists, packs and reads the workbooks (`binaryFile`), a mapper turns each i
 Arrow batches of cell texts, and the declared types are applied by Spark. A workbook
 cannot be split, but the format bounds a sheet to 1,048,576 rows, and a scan partition
 holds at most `spark.sql.files.maxPartitionBytes` of workbooks or a single larger one.
+
+Types that are not declared are taken from the cells of all workbooks by one more scan: every
+workbook gives a row per column with the kinds of cell seen as bits, and the bits of a column
+are joined by `bit_or`, which may merge them in any order and before the shuffle.
 """
 
 from __future__ import annotations
@@ -12,14 +16,24 @@ import datetime as dt
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from decimal import Decimal
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from saleslake.functions.columns import standard_name
 from saleslake.schemas import SourceSpec
@@ -27,6 +41,17 @@ from saleslake.session import ship_package
 
 _ROWS_PER_BATCH = 10_000
 
+# Kinds of cell, as bits. A column's kinds are the union over its cells.
+_BOOLEAN, _WHOLE, _FRACTION, _DAY, _MOMENT, _TEXT = (1 << bit for bit in range(6))
+#: The smallest type that holds all kinds of a column; any other mixture is text.
+_TYPES = (
+    (_BOOLEAN, BooleanType()),
+    (_WHOLE, LongType()),
+    (_WHOLE | _FRACTION, DoubleType()),
+    (_DAY, DateType()),
+    (_DAY | _MOMENT, TimestampType()),
+)
+
 
 def _local(tag: str) -> str:
     return tag.rpartition("}")[2]
@@ -135,10 +160,28 @@ def _cell(
     return raw
 
 
-def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
+def _cell_and_kind(
+    node: ElementTree.Element, strings: list[str], dates: set[int], first_day: dt.datetime
+) -> tuple[str | None, int]:
+    """A cell's text and the bit of its kind; an error value or an empty cell is of none."""
+    text, form = _cell(node, strings, dates, first_day), node.get("t", "n")
+    if text is None or form == "e":
+        return text, 0
+    if form == "b":
+        return text, _BOOLEAN
+    if form == "d" or (form == "n" and re.match(r"\d+-", text)):
+        return text, _DAY if len(text) == 10 else _MOMENT
+    if form == "n":
+        whole = re.fullmatch(r"-?\d+", text) and -(2**63) <= int(text) < 2**63
+        return text, _WHOLE if whole else _FRACTION
+    return text, _TEXT
+
+
+def sheet_rows(content: bytes, cell: Callable = _cell) -> Iterator[list]:
     """Cell texts of the first sheet, row by row, gaps as None.
 
-    Numbers in a date style become ISO dates, with the time if it is not midnight.
+    Numbers in a date style become ISO dates, with the time if it is not midnight. Another
+    `cell` gives something else than the text.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         strings = []
@@ -150,10 +193,17 @@ def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
             for node in row:
                 at = _column(node.get("r")) if node.get("r") else len(cells)
                 cells.extend([None] * (at + 1 - len(cells)))
-                cells[at] = _cell(node, strings, dates, first_day)
+                cells[at] = cell(node, strings, dates, first_day)
             yield cells
 
 
+def _unnamed(name: str, head: list[str | None]) -> int:
+    """The place of a column that is called by it, where this workbook's header has no name."""
+    number = re.fullmatch(r"_c(\d+)", name)
+    at = int(number.group(1)) if number else -1
+    return at if at >= len(head) or not head[at] else -1
+
+
 def _workbook_batches(
     content: bytes, names: list[str], header: bool
 ) -> Iterator[list[list[str | None]]]:
@@ -161,8 +211,9 @@ def _workbook_batches(
     rows = sheet_rows(content)
     positions = list(range(len(names)))
     if header:
-        found = {standard_name(cell or ""): at for at, cell in enumerate(next(rows, []))}
-        positions = [found.get(standard_name(name), -1) for name in names]
+        head = next(rows, [])
+        found = {standard_name(cell or ""): at for at, cell in enumerate(head)}
+        positions = [found.get(standard_name(name), _unnamed(name, head)) for name in names]
         if max(positions) < 0:
             raise ValueError(f"no header cell of the workbook is one of: {', '.join(names)}")
     columns: list[list[str | None]] = [[] for _ in names]
@@ -178,6 +229,72 @@ def _workbook_batches(
         yield columns
 
 
+def _column_kinds(content: bytes, header: bool) -> list[tuple[str, int]]:
+    """Name and kinds of every column of a workbook, in the order of the sheet.
+
+    A column without a header cell is left out if it has no cell of a kind, else it is called
+    by its place, as all are without a header.
+    """
+    rows = sheet_rows(content, _cell_and_kind)
+    names = [cell and cell[0] for cell in next(rows, [])] if header else []
+    kinds: list[int] = [0] * len(names)
+    for row in rows:
+        kinds.extend([0] * (len(row) - len(kinds)))
+        for at, cell in enumerate(row):
+            if cell is not None:
+                kinds[at] |= cell[1]
+    names.extend([None] * (len(kinds) - len(names)))
+    found = [
+        (name or f"_c{at}", seen)
+        for at, (name, seen) in enumerate(zip(names, kinds, strict=True))
+        if name or seen or not header
+    ]
+    keys = [standard_name(name) for name, _ in found]
+    if len(set(keys)) < len(keys):
+        raise ValueError(f"header cells of a workbook mean the same: {', '.join(keys)}")
+    return found
+
+
+def _type_of(kinds: int) -> DataType:
+    """The declared type of a column with these kinds of cell; text if it has none."""
+    return next((t for held, t in _TYPES if kinds and not kinds & ~held), StringType())
+
+
+def inferred_schema(books: DataFrame, header: bool = True) -> StructType:
+    """Columns and types of the workbooks (`path`, `content`), from all of their cells.
+
+    Columns of workbooks are the same if their standardized names are; the first workbook by
+    path that has one names it, and columns stand in the order of the first workbooks. Whole
+    numbers are long, others double, days date or timestamp; numbers written as text are text,
+    and so are columns of several kinds or of no cell. The driver gets a row per column.
+    """
+    ship_package(books.sparkSession)
+    fields = "path string, place int, name string, key string, kinds int"
+    names = [field.split()[0] for field in fields.split(", ")]
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1), strict=True):
+                found = _column_kinds(content.as_py(), header)
+                columns = [
+                    pa.array([path.as_py()] * len(found), pa.string()),
+                    pa.array(range(len(found)), pa.int32()),
+                    pa.array([name for name, _ in found], pa.string()),
+                    pa.array([standard_name(name) for name, _ in found], pa.string()),
+                    pa.array([kinds for _, kinds in found], pa.int32()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    first = F.min(F.struct("path", "place", "name")).alias("first")
+    found = (
+        books.select("path", "content").mapInArrow(look, fields)
+        .groupBy("key").agg(first, F.bit_or("kinds").alias("kinds")).orderBy("first").collect()
+    )
+    if not found:
+        raise ValueError("no workbook with a column to take a schema from")
+    return StructType([StructField(row.first.name, _type_of(row.kinds)) for row in found])
+
+
 def decode_workbooks(books: DataFrame, schema: StructType, header: bool = True) -> DataFrame:
     """Rows of the workbooks in the binary column `content`, typed by `schema`.
 
@@ -205,14 +322,15 @@ def read_xlsx(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
     """Scan a workbook of any name, or every `.xlsx` and `.xlsm` of a folder.
 
     Suffixes are compared without regard to case. A glob or folder without a workbook has no
-    rows; a named file is read whatever it is called, and fails if it is no workbook.
+    rows; a named file is read whatever it is called, and fails if it is no workbook. Without
+    a schema the columns and types are inferred from all cells, which reads the workbooks once
+    more and needs at least one.
     """
-    if spec.schema is None:
-        raise ValueError(f"source '{spec.name}' needs a schema")
     reader = spark.read.format("binaryFile").options(**spec.options)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not (files.exists(folder) and files.getFileStatus(folder).isFile()):
         reader = reader.option("pathGlobFilter", "*.[xX][lL][sS][xXmM]")
     books = reader.load(path)
-    return decode_workbooks(books, spec.schema, spec.header)
+    schema = spec.schema or inferred_schema(books, spec.header)
+    return decode_workbooks(books, schema, spec.header)

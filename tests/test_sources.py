@@ -109,7 +109,7 @@ def test_unsupported_format(spark, tmp_path):
 
 
 @pytest.mark.parametrize("kind", ["json", "xlsx"])
-def test_schema_is_required(spark, tmp_path, kind):
+def test_schema_or_a_workbook_is_required(spark, tmp_path, kind):
     with pytest.raises(ValueError, match="schema"):
         read_source(spark, SourceSpec("x", kind, "t"), str(tmp_path))
 
@@ -246,3 +246,69 @@ def test_workbooks_written_by_tasks_read_back(spark, tmp_path):
     spec = SourceSpec("b.xlsx", "xlsx", "t", struct(n=INT, s=STRING))
     got = read_source(spark, spec, str(tmp_path / "books"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+
+
+def _inferred(spark, path, header=True):
+    return read_source(spark, SourceSpec("a.xlsx", "xlsx", "t", header=header), str(path))
+
+
+def test_xlsx_types_come_from_the_cells_of_all_workbooks(spark, tmp_path):
+    day, moment = dt.date(2020, 2, 29), dt.datetime(2021, 3, 4, 5, 6, 7)
+    (tmp_path / "a.xlsx").write_bytes(workbook_bytes(
+        ["Big No", "price", "when", "day", "ok", "mix", "none", "digits"],
+        [(1, 2, day, day, True, 1, None, "7"), (2**62, None, None, None, None, None, None, None)],
+    ))
+    (tmp_path / "b.xlsx").write_bytes(workbook_bytes(
+        ["extra", "When", "PRICE", "mix", "big_no"],
+        [("x", moment, 2.5, day, -5), (None, None, 1e17, "y", None)],
+    ))
+    found = _inferred(spark, tmp_path)
+    assert found.dtypes == [
+        ("Big No", "bigint"), ("price", "double"), ("when", "timestamp"), ("day", "date"),
+        ("ok", "boolean"), ("mix", "string"), ("none", "string"), ("digits", "string"),
+        ("extra", "string"),
+    ]
+    rows = found.select("Big No", "price", "when", "day", "ok", "mix", "digits", "extra").collect()
+    midnight = dt.datetime(2020, 2, 29)
+    assert sorted(map(tuple, rows), key=str) == sorted([
+        (1, 2.0, midnight, day, True, "1", "7", None),
+        (2**62, None, None, None, None, None, None, None),
+        (-5, 2.5, moment, None, None, "2020-02-29", None, "x"),
+        (None, 1e17, None, None, None, "y", None, None),
+    ], key=str)
+
+
+def test_xlsx_types_do_not_depend_on_the_parts_of_a_scan(spark, tmp_path, conf):
+    kinds = [1, 2.5, True, dt.date(2020, 1, 1), "t", None]
+    for at, first in enumerate(kinds):
+        rows = [(first, second) for second in kinds[: at + 1]]
+        (tmp_path / f"{at}.xlsx").write_bytes(workbook_bytes(["a", f"b{at}"], rows))
+    expected = [("a", "string"), ("b0", "bigint"), ("b1", "double"), ("b2", "string"),
+                ("b3", "string"), ("b4", "string"), ("b5", "string")]
+    assert _inferred(spark, tmp_path).dtypes == expected
+    conf(spark__sql__files__maxPartitionBytes="1")
+    assert _inferred(spark, tmp_path).dtypes == expected
+
+
+def test_xlsx_without_schema_or_header_errors_and_gaps(spark, tmp_path):
+    _workbook(
+        tmp_path / "e.xlsx",
+        '<row r="1"><c r="A1" t="str"><v>n</v></c></row>'
+        '<row r="2"><c r="A2"><v>4</v></c><c r="C2"><v>9.223372036854775808E18</v></c></row>'
+        '<row r="3"><c r="A3" t="e"><v>#DIV/0!</v></c><c r="D3" t="e"><v>#N/A</v></c></row>',
+    )
+    found = _inferred(spark, tmp_path / "e.xlsx")
+    assert found.dtypes == [("n", "bigint"), ("_c2", "double")]
+    assert [tuple(row) for row in found.collect()] == [(4, float(2**63)), (None, None)]
+    bare = _inferred(spark, tmp_path / "e.xlsx", header=False)
+    assert bare.dtypes == [("_c0", "string"), ("_c1", "string"), ("_c2", "double"), ("_c3", "string")]
+    assert bare.count() == 3
+
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError, match="no workbook"):
+        _inferred(spark, tmp_path / "empty")
+    (tmp_path / "empty" / "h.xlsx").write_bytes(workbook_bytes(["a", "B"], []))
+    assert _inferred(spark, tmp_path / "empty").dtypes == [("a", "string"), ("B", "string")]
+    (tmp_path / "twice.xlsx").write_bytes(workbook_bytes(["a b", "A_B"], [(1, 2)]))
+    with pytest.raises(Exception, match="mean the same"):
+        _inferred(spark, tmp_path / "twice.xlsx")
