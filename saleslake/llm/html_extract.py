@@ -27,8 +27,8 @@ from saleslake.llm.common import map_batches
 from saleslake.llm.html_pages import labelled_pages
 from saleslake.llm.html_tree import Node, parse
 
-TRAINING_PAGES = 600
-PENALTY = 0.1
+TRAINING_PAGES = 900
+PENALTY = 0.01
 
 # Elements that are told apart, and words that names are searched for.
 _TAGS = {
@@ -41,32 +41,33 @@ _TAGS = {
     }.items() for tag in tags.split()
 }
 _WORDS = {
-    "ads": r"\bads?\b|\bad[-_]|[-_]ads?\b|adsbox|advert|sponsor|promo|banner",
-    "nav": r"\bnav|menu|breadcrumb|pagination|topnav|navigation",
-    "footer": r"footer|copyright|\bbottom\b",
-    "header": r"\bheader|site-header|page-header|masthead|top-?bar",
-    "side": r"side-?bar|widget|related|\brail\b|share|social|\btags?\b|recommend|trending",
-    "comment": r"comment|disqus|\brepl(?:y|ies)\b|responses|discussion",
-    "notice": r"cookie|notice|consent|gdpr|modal|popup|newsletter|subscri|\balert|paywall"
-              r"|disclaimer",
-    "form": r"search|log-?in|sign-?up|form\b",
-    "content": r"content|article|\bpost\b|entry|story|\bmain\b|body\b",
+    "ads": "ad ads adbox adsbox adslot advert advertisement advertising sponsor sponsored promo"
+           " promotion banner",
+    "nav": "nav navbar navigation menu breadcrumb pagination pager topnav subnav",
+    "footer": "footer copyright bottom",
+    "header": "header masthead topbar",
+    "side": "side sidebar widget related rail share sharing social tags recommended trending",
+    "comment": "comment disqus reply replies response responses discussion",
+    "notice": "cookie notice consent gdpr modal popup newsletter subscribe subscription alert"
+              " paywall disclaimer",
+    "form": "search login signin signup form",
+    "content": "content article post entry story main body text",
 }
-#: Elements whose meaning alone says that they are no content, and the evidence that is worth.
-_NEVER = frozenset(("form", "nav", "aside", "footer"))
-EVIDENCE = -12.0
 _ROOTS = frozenset(("#page", "html", "body"))
-_FIND = [re.compile(pattern) for pattern in _WORDS.values()]
+_NAME = re.compile(r"[^\W_]+")
+_KINDS = {word: kind for kind, words in enumerate(_WORDS.values()) for word in words.split()}
 _GROUPS = sorted(set(_TAGS.values()))
 _PLACE = {tag: _GROUPS.index(group) for tag, group in _TAGS.items()}
 _FIRST_WORD = len(_GROUPS) + 1
-_FIRST_STAT = _FIRST_WORD + len(_FIND)
-N_FEATURES = _FIRST_STAT + 14
+_FIRST_STAT = _FIRST_WORD + len(_WORDS)
+N_FEATURES = _FIRST_STAT + 18
 
 
 @lru_cache(maxsize=8192)
 def _named(names: str) -> tuple[int, ...]:
-    return tuple(_FIRST_WORD + k for k, find in enumerate(_FIND) if find.search(names))
+    """Features of the whole words of class, id and role; a plural counts as its singular."""
+    found = {_KINDS.get(word, _KINDS.get(word.removesuffix("s"))) for word in _NAME.findall(names)}
+    return tuple(_FIRST_WORD + kind for kind in found if kind is not None)
 
 
 @dataclass(frozen=True)
@@ -78,7 +79,11 @@ class Model:
 
 
 def features(nodes: list[Node]) -> list[list[tuple[int, float]]]:
-    """Sparse features of every node. Containers know the totals of what they hold."""
+    """Sparse features of every node. Containers know the totals of what they hold.
+
+    A page without `h1`, `article` and `main` is unmarked; there the share of the page's text
+    outside links counts, of a block or of the block around a run of text.
+    """
     words = [n.words for n in nodes]
     linked = [n.linked for n in nodes]
     stops = [n.stops for n in nodes]
@@ -94,6 +99,8 @@ def features(nodes: list[Node]) -> list[list[tuple[int, float]]]:
         stops[up] += stops[at]
         titled[up] = titled[up] or titled[at]
     whole = max(words[0], 1)
+    plain = max(words[0] - linked[0], 1)
+    unmarked = not any(node.tag in ("h1", "article", "main") for node in nodes)
     out = []
     for at, node in enumerate(nodes):
         row: list[tuple[int, float]] = [(_FIRST_STAT, 1.0)]
@@ -127,6 +134,15 @@ def features(nodes: list[Node]) -> list[list[tuple[int, float]]]:
             row.append((_FIRST_STAT + 12, 1.0))
         if tag in ("p", "#text") and titled[node.parent]:
             row.append((_FIRST_STAT + 13, 1.0))
+        if unmarked:
+            row.append((_FIRST_STAT + 14, 1.0))
+            if tag not in _ROOTS:
+                share = (count - linked[at]) / plain
+                row.append((_FIRST_STAT + 15, share))
+                if share > 0.5:
+                    row.append((_FIRST_STAT + 16, 1.0))
+            if tag in ("p", "#text") and nodes[node.parent].tag in _ROOTS:
+                row.append((_FIRST_STAT + 17, 1.0))
         out.append(row)
     return out
 
@@ -136,10 +152,7 @@ def marginals(nodes: list[Node], model: Model) -> list[float]:
     weights = model.weights
     (p00, p01), (p10, p11) = model.pairs
     exp, log = math.exp, math.log
-    own = [
-        sum(weights[k] * v for k, v in row) + (EVIDENCE if node.tag in _NEVER else 0.0)
-        for node, row in zip(nodes, features(nodes), strict=True)
-    ]
+    own = [sum(weights[k] * v for k, v in row) for row in features(nodes)]
     upward = own[:]
     message = [0.0] * len(nodes)
 
@@ -169,7 +182,7 @@ def train(pages: list[str], rounds: int = 12) -> Model:
     for page in pages:
         nodes = parse(page)
         for node, row in zip(nodes, features(nodes), strict=True):
-            if node.label is None:
+            if node.label is None or node.tag in _ROOTS:
                 continue
             rows.append(row)
             targets.append(node.label)

@@ -70,6 +70,7 @@ class _Writer:
             f'<div class="{name}" data-content="0"><ul>{self.links()}</ul></div>',
             f'<ul id="{name}" data-content="0">{self.links()}</ul>',
             f'<div role="navigation" data-content="0">{self.links()}</div>',
+            f'<nav data-content="0">{self.words(1, 3)} / {self.words(1, 8)}</nav>',
         )
 
     def header(self) -> str:
@@ -93,7 +94,7 @@ class _Writer:
     def aside(self) -> str:
         inner = self.pick(
             f"<ul>{self.links()}</ul>", f"<p>{self.words(2, 60)}</p>",
-            f"<h3>{self.words(1, 4)}</h3><ul>{self.links()}</ul>",
+            f"<h3>{self.words(1, 4)}</h3><ul>{self.links()}</ul>", self.words(1, 6),
         )
         name = self.pick("sidebar", "side-bar", "widget", "related", "related-posts", "rail",
                          "share", "social", "tags")
@@ -141,7 +142,8 @@ class _Writer:
         names = self.pick("", ' class="content"', ' id="main-content"', ' class="post"',
                           ' class="entry-content"', ' class="article-body"', ' class="story"')
         body = self.content(self.pick("article", "article", "main", "div", "section"), names)
-        inside = [f() for f in (self.advert, self.notice, self.aside, self.comments, self.form)
+        inside = [f() for f in (self.advert, self.notice, self.aside, self.comments, self.form,
+                                self.menu, self.footer)
                   if r.random() < 0.3]
         if inside:
             cut = body.rindex("</")
@@ -165,5 +167,42 @@ class _Writer:
         )
 
 
+    def unmarked(self) -> str:
+        """A page without `h1`, `article` and `main`: its text lies in a block whose name may say
+        anything, or in the body itself, or is all there is."""
+        r = self.random
+        text = "".join(
+            f"<p>{self.words(3, r.choice([12, 40, 120]))}</p>" for _ in range(r.randint(1, 6))
+        )
+        if r.random() < 0.3:
+            text = f"<h2>{self.words(1, 8)}</h2>{text}"
+        bare = r.random()
+        if bare < 0.2:
+            text = "<br>".join(self.words(5, 60) for _ in range(r.randint(1, 4)))
+        elif bare > 0.4:
+            name = self.pick(
+                "", "", "text", "content", "post", "entry", "box", "inner", "page", "col",
+                self.words(1, 1).strip(".,").lower(), "discussion-paper", "social-house",
+                "notice-period", "promotion-prize", "banner-day", "header-story", "footer-land",
+                "menu-review", "search-report", "response-plan", "related-work", "reply-letter",
+                "alert-level", "tags-essay", "copyright-law", "side-story",
+            )
+            tag = self.pick("div", "div", "section", "td")
+            text = f'<{tag} class="{name}">{text}</{tag}>'
+            if tag == "td":
+                text = f"<table><tr>{text}</tr></table>"
+            if r.random() < 0.3:
+                text = f'<div{self.pick("", " class=wrapper", " id=page")}>{text}</div>'
+        few = [f() for f in (self.header, self.menu, self.form) if r.random() < 0.4]
+        last = [f() for f in (self.aside, self.notice, self.advert) if r.random() < 0.25]
+        if r.random() < 0.3:
+            few.append(self.advert() if r.random() < 0.5 else self.notice())
+        inner = "".join([*few, text, *last, self.maybe(self.footer(), 0.6)])
+        return f'<html><body data-content="1">{inner}</body></html>'
+
+
 def labelled_pages(count: int) -> list[str]:
-    return [_Writer(seed).page() for seed in range(count)]
+    """Every third page is an unmarked one."""
+    return [
+        _Writer(seed).unmarked() if seed % 3 == 2 else _Writer(seed).page() for seed in range(count)
+    ]

@@ -290,6 +290,49 @@ def test_texts_of_pages(spark):
     assert html_extract.extract(frame.limit(0)).count() == 0
 
 
+# Written apart from the generator of training pages, whose names and words are others.
+_ONE = "The council met on Monday to discuss the budget for the coming year."
+_TWO = "Members agreed, after a long debate, that roads should cost more. A vote follows in May."
+_BOTH, _LINES = f"<p>{_ONE}</p><p>{_TWO}</p>", f"{_ONE}\n{_TWO}"
+_NAV = "<nav><ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul></nav>"
+_FOOT = "<footer>&copy; 2024 Town press</footer>"
+
+
+@pytest.mark.parametrize("name", [
+    "commentary", "shareholder-report", "social-policy", "discussion", "notice-board",
+    "promotion-news", "responses-overview", "x17", "",
+])
+def test_articles_in_blocks_of_any_name(name):
+    block, model = f'<div class="{name}">{_BOTH}</div>', html_extract.trained()
+    side = '<div class="sidebar"><ul><li><a href=q>More</a></li></ul></div>'
+    for body in (block, f"{_NAV}{block}{_FOOT}", f"{_NAV}{block}{side}{_FOOT}"):
+        assert html_extract.main_text(f"<html><body>{body}</body></html>", model) == _LINES
+
+
+@pytest.mark.parametrize(("body", "text"), [
+    (f"{_ONE}<br>{_TWO}", f"{_ONE} {_TWO}"),
+    (f"{_NAV}{_BOTH}{_FOOT}", _LINES),
+    (f"{_NAV}<h2>Budget</h2>{_BOTH}{_FOOT}", f"Budget\n{_LINES}"),
+    (f"{_NAV}{_FOOT}", ""),
+    (f"<article><h1>Budget</h1><p>{_ONE}</p><aside><p>Read also: the mayor.</p></aside>"
+     f"<p>{_TWO}</p><footer>By the desk</footer></article>", f"Budget\n{_LINES}"),
+    (f"{_NAV}<article><h1>Budget</h1>{_BOTH}</article><div class=comments><div class=comment>"
+     f"<p>I do not agree with any of that. Roads are fine.</p></div></div>{_FOOT}",
+     f"Budget\n{_LINES}"),
+    (f"<main>{_BOTH}<form><p>Your name</p><button>Send</button></form></main>", _LINES),
+    ('<div id="cookie-notice">We use cookies to make this work. Accept all of them?</div>'
+     f"<div class=text>{_BOTH}</div>", _LINES),
+    (f'<div class=ad><p>Buy two mugs, get one free. Only now.</p></div><div>{_BOTH}</div>', _LINES),
+])
+def test_held_out_layouts(body, text):
+    page = f"<html><head><title>Other</title></head><body>{body}</body></html>"
+    assert html_extract.main_text(page, html_extract.trained()) == text
+
+
+def test_page_without_tags():
+    assert html_extract.main_text(_ONE, html_extract.trained()) == _ONE
+
+
 def test_deep_and_broken_pages():
     deep = "<div>" * 20_000 + "x" + "</div>" * 10
     assert html_extract.main_text(deep, html_extract.trained()) in ("", "x")
