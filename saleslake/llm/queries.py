@@ -304,11 +304,85 @@ FROM nodes n JOIN below b ON b.path = n.path LEFT JOIN children c ON c.path = n.
   LEFT JOIN nodes p ON n.d > 0 AND p.path = n.path[1:n.d - 1]"""
 
 
+_QUALITY = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+split AS (
+  SELECT r, doc_id, lang, source, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM texts),
+placed AS (
+  SELECT r, unnest(words) AS word, unnest(range(len(words))) AS pos FROM split),
+windows AS (
+  SELECT r, pos, lead(word, 7) OVER o AS eighth, concat_ws(' ', word, lead(word, 1) OVER o,
+    lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o, lead(word, 5) OVER o,
+    lead(word, 6) OVER o, lead(word, 7) OVER o) AS said
+  FROM placed WINDOW o AS (PARTITION BY r ORDER BY pos)),
+again AS (
+  SELECT r, pos FROM windows WHERE eighth IS NOT NULL
+  QUALIFY COUNT(*) OVER (PARTITION BY r, said) > 1),
+covered AS (
+  SELECT r, COUNT(DISTINCT pos + step) AS n FROM again, range(8) AS steps(step) GROUP BY r),
+counted AS (
+  SELECT r, doc_id, lang, source, len(words) AS n_words, len(lines) AS n_lines,
+    length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM split LEFT JOIN covered USING (r)),
+based AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted),
+measures AS (
+  SELECT r, lang, source, base_failed, unnest([
+    {'m': 0, 'spread': 150, 'v': 100 * word_chars // greatest(n_words, 1)},
+    {'m': 1, 'spread': 100, 'v': 1000 * n_symbols // greatest(n_words, 1)},
+    {'m': 2, 'spread': 150, 'v': 1000 * n_dup_lines // greatest(n_lines, 1)},
+    {'m': 3, 'spread': 100, 'v': 1000 * n_repeat_words // greatest(n_words, 1)}], recursive := true)
+  FROM based),
+edges AS (
+  SELECT *, greatest(length(ltrim(bin(CAST(v AS BIGINT)), '0')) - 6, 0) AS low_bits
+  FROM measures WHERE NOT base_failed),
+leveled AS (
+  SELECT unnest([0, 1, 2]) AS level, lang, source, m, spread,
+    v // CAST(pow(2, low_bits) AS BIGINT) * CAST(pow(2, low_bits) AS BIGINT) AS bucket
+  FROM edges),
+pooled AS (
+  SELECT level, CASE WHEN level < 2 THEN lang END AS lang, CASE WHEN level = 0 THEN source END
+    AS source, m, spread, bucket, COUNT(*) AS n
+  FROM leveled GROUP BY ALL),
+ranked AS (
+  SELECT *, SUM(n) OVER (o ORDER BY bucket) AS upto, SUM(n) OVER o AS total
+  FROM pooled WINDOW o AS (PARTITION BY level, lang, source, m)),
+quartiles AS (
+  SELECT level, lang, source, m, spread, total,
+    MIN(bucket) FILTER (upto >= ceil(total * 0.25)) AS low,
+    MIN(bucket) FILTER (upto >= ceil(total * 0.5)) AS middle,
+    MIN(bucket) FILTER (upto >= ceil(total * 0.75)) AS high
+  FROM ranked GROUP BY ALL),
+bounds AS (
+  SELECT level, lang, source, m, total, low - 3 * greatest(middle - low, spread) AS least,
+    high + 3 * greatest(high - middle, spread) AS most
+  FROM quartiles),
+usable AS (SELECT * FROM bounds WHERE level = 2 OR total >= 100),
+judged AS (
+  SELECT x.r, x.v < b.least OR x.v > b.most AS outside
+  FROM measures x JOIN usable b ON b.m = x.m
+    AND (b.level = 2 OR b.lang IS NOT DISTINCT FROM x.lang)
+    AND (b.level > 0 OR b.source IS NOT DISTINCT FROM x.source)
+  QUALIFY row_number() OVER (PARTITION BY x.r, x.m ORDER BY b.level) = 1),
+rejected AS (SELECT DISTINCT r FROM judged WHERE outside)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND r NOT IN (SELECT r FROM rejected) AS kept
+FROM based"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can express."""
     return {
         "op2_line_dedup": _LINE_DEDUP,
         "op3_ngram_jaccard_join": _NGRAM,
+        "op6_quality_rules": _QUALITY,
         "op7_top_k_search": _top_k_sql(),
         "op8_warc": _WARC,
         "op12_conversation_prefix_trie": _TRIE,

@@ -376,6 +376,6 @@ def test_queries_return_rows(spark, name):
     assert query(spark, SF_DIR).count() > 0
 
 
-@pytest.mark.parametrize("name", ["op2_line_dedup", "op7_top_k_search"])
+@pytest.mark.parametrize("name", ["op2_line_dedup", "op6_quality_rules", "op7_top_k_search"])
 def test_same_as_sql(spark, name):
     assert compare(spark, duck(SF_DIR), name, SF_DIR) == ""
