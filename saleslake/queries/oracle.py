@@ -14,12 +14,12 @@ _PRODUCT = "^[A-Z]{3}-[A-Z]{2}-[0-9]{8}$"
 _WIDE_CUSTOMER = "^[A-Z]{2}-[0-9]{5,}$"
 _WIDE_PRODUCT = "^[A-Z]{3}-[A-Z]{2}-[0-9]{8,}$"
 _EMAIL = "^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}$"
-_PHONE = "^([+]1[ ]?)?[(]?[0-9]{3}[)]?[ .-]?[0-9]{3}[ .-]?[0-9]{4}$"
+_PHONE = "^([+]1[[:space:]]?)?[(]?[0-9]{3}[)]?[[:space:].-]?[0-9]{3}[[:space:].-]?[0-9]{4}$"
 _POSTAL = "^[0-9]{5}(-[0-9]{4})?$"
 _TWO_DIGIT_DATE = "^[0-9]{2}/[0-9]{2}/[0-9]{4}$"
 _SHORT_DATE = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
 _NOT_LETTER = "[^a-zA-Z[:space:]]"
-_NOT_ASCII = "[^ -~\\t\\n\\r]"
+_NOT_ASCII = "[^[:ascii:]]"
 
 
 def _code(prefix: str, key: str, span: int, digits: int, wide: bool) -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import io
 import math
+import re
 import zipfile
 from collections.abc import Iterator
 from decimal import Decimal
@@ -17,7 +18,7 @@ from xml.sax.saxutils import escape
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from saleslake.session import ship_package
 
@@ -78,16 +79,24 @@ def workbook_bytes(names: list[str], rows) -> bytes:
     return out.getvalue()
 
 
-def _uri(folder: str) -> str:
-    if folder.startswith("file:") and not folder.startswith("file://"):
-        return "file://" + folder.removeprefix("file:")
-    return folder
+def _uri(spark: SparkSession, folder: str) -> str:
+    """The folder as Arrow names it, on the file system that Spark takes it to be on.
+
+    A path without a scheme lies on the cluster's default file system, not on a task's own disk.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = files.makeQualified(path).toString()
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        return "file://" + uri.removeprefix("file:")
+    # Arrow knows the object store by one name
+    return re.sub("^s3[an]://", "s3://", uri)
 
 
 def write_workbooks(df: DataFrame, folder: str) -> None:
     """Write every Arrow batch of `df` as a workbook in `folder`."""
     ship_package(df.sparkSession)
-    names, uri = df.columns, _uri(folder)
+    names, uri = df.columns, _uri(df.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = pafs.FileSystem.from_uri(uri)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import warnings
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -23,7 +24,9 @@ def tuning(shuffle_bytes: int | None = None) -> dict[str, str]:
 
     The initial partition number is sized so that a reduce task holds one target
     worth of data before skew; AQE merges the small ones and splits the hot ones,
-    which it can only tell apart if the usual partition is small.
+    which it can only tell apart if the usual partition is small. Beyond 200,000 partitions
+    (25 TB a shuffle) the driver's own tables of blocks become the limit: the number stays there,
+    partitions grow instead, and a warning says so.
     """
     conf = {
         "spark.sql.session.timeZone": "UTC",
@@ -35,6 +38,13 @@ def tuning(shuffle_bytes: int | None = None) -> dict[str, str]:
     }
     if shuffle_bytes is not None:
         wanted = -(-shuffle_bytes // _TARGET_SHUFFLE_BYTES)
+        if wanted > _MAX_SHUFFLE_PARTITIONS:
+            size = shuffle_bytes // _MAX_SHUFFLE_PARTITIONS >> 20
+            warnings.warn(
+                f"{wanted} shuffle partitions wanted, {_MAX_SHUFFLE_PARTITIONS} set: about {size}"
+                " MB each instead of 128, so give tasks more memory",
+                stacklevel=2,
+            )
         conf["spark.sql.shuffle.partitions"] = str(min(max(wanted, 1), _MAX_SHUFFLE_PARTITIONS))
     return conf
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from saleslake.session import tuning
 
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -10,7 +12,8 @@ def test_partitions_follow_the_data():
     assert tuning(0)[PARTITIONS] == "1"
     assert tuning(1_000_000_000)[PARTITIONS] == "8"
     assert tuning(10**12)[PARTITIONS] == "7451"
-    assert tuning(10**15)[PARTITIONS] == "200000"
+    with pytest.warns(UserWarning, match="4768 MB each"):
+        assert tuning(10**15)[PARTITIONS] == "200000"
 
 
 def test_adaptive_execution_is_on(spark):

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 import pytest
 
-from saleslake.queries.workbooks import workbook_bytes, write_workbooks
+from saleslake.queries.workbooks import _uri, workbook_bytes, write_workbooks
 from saleslake.schemas import CUSTOMER_FILE_SCHEMA, SOURCES, SourceSpec, struct
 from saleslake.schemas import DATE, INT, MONEY, STRING
 from saleslake.sources import read_source
@@ -248,6 +248,18 @@ def test_workbooks_written_by_tasks_read_back(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_workbooks_go_to_the_default_file_system(spark, tmp_path):
+    assert _uri(spark, str(tmp_path)) == _uri(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+    setting, conf = "fs.defaultFS", spark._jsc.hadoopConfiguration()
+    before = conf.get(setting)
+    conf.set(setting, "viewfs://cluster")
+    conf.set("fs.viewfs.mounttable.cluster.linkFallback", "file:///")
+    try:
+        assert _uri(spark, str(tmp_path)).startswith("viewfs://cluster")
+    finally:
+        conf.set(setting, before)
+
+
 def _inferred(spark, path, header=True):
     return read_source(spark, SourceSpec("a.xlsx", "xlsx", "t", header=header), str(path))
 
