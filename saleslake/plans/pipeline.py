@@ -24,7 +24,7 @@ from saleslake.operators.enrich import PLACE, enrich, known_rows, newly_matched,
 from saleslake.operators.merge import add
 from saleslake.operators.summary import REPORTS
 from saleslake.plans import catalog
-from saleslake.plans.staging import staged
+from saleslake.plans.staging import observed_counts, staged
 from saleslake.schemas import (
     BATCH,
     BATCHES,
@@ -290,7 +290,10 @@ def _load(
         catalog.append(joined, "transactions", database, batch)
     seen = [
         (f"{name}_{step}", value)
-        for name, observed in counts.items() for step, value in observed.get.items()
+        for name, observed in counts.items()
+        for step, value in observed_counts(
+            observed, *(("joined",) if name == "transactions" else ("read", "kept"))
+        ).items()
     ]
     rows = spark.createDataFrame(seen, COUNTS.schema)
     catalog.append(rows.coalesce(1), COUNTS.name, database, batch)

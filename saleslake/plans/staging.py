@@ -12,7 +12,8 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+
 #: Where staged results lie in the shared folder.
 STAGING = "saleslake/staging"
 
@@ -92,3 +93,14 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever storage it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def observed_counts(observation: Observation, *names: str) -> dict[str, int]:
+    """The counts observed while a frame was written.
+
+    Where adaptive execution finds the input empty, the node that counts goes with it and the
+    row of metrics has no columns; the counts are zero then.
+    """
+    if not observation._jo.getRow().length():
+        return dict.fromkeys(names, 0)
+    return {name: observation.get[name] for name in names}

@@ -37,7 +37,7 @@ from saleslake.operators.merge import tag_merge
 from saleslake.operators.summary import REPORTS, all_reports, ranked
 from saleslake.plans import catalog
 from saleslake.plans.pipeline import BUCKETS, SalesFiles, ingest, refresh_summary, run_pipeline
-from saleslake.plans.staging import new_folder, stored
+from saleslake.plans.staging import new_folder, observed_counts, stored
 from saleslake.queries import inputs
 from saleslake.queries.workbooks import write_workbooks
 from saleslake.schemas import SUMMARY_KEYS, TABLES, SourceSpec
@@ -295,11 +295,13 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).observe(counts["transactions"], F.count(F.lit(1)).alias("joined")).write.format(
         "noop"
     ).mode("overwrite").save()
+    joined = observed_counts(counts.pop("transactions"), "joined")["joined"]
+    raw = {name: observed_counts(seen, "read", "valid") for name, seen in counts.items()}
     steps = [
-        ("orders_read", counts["raw_orders"].get["read"]),
-        *((f"{name}_valid", counts[f"raw_{name}"].get["valid"])
+        ("orders_read", raw["raw_orders"]["read"]),
+        *((f"{name}_valid", raw[f"raw_{name}"]["valid"])
           for name in ("orders", "customers", "products")),
-        ("transactions", counts["transactions"].get["joined"]),
+        ("transactions", joined),
     ]
     return spark.createDataFrame(steps, "step string, row_count long")
 

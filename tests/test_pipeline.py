@@ -22,7 +22,7 @@ from saleslake.plans.pipeline import (
 )
 from saleslake.operators.summary import summarize
 from saleslake.queries.workbooks import workbook_bytes
-from saleslake.schemas import CUSTOMER_FILE_SCHEMA, ORDER_FILE_SCHEMA
+from saleslake.schemas import COUNTS, CUSTOMER_FILE_SCHEMA, ORDER_FILE_SCHEMA
 
 DAY = dt.date(2020, 1, 1)
 KNOWN, OTHER = "QX-40417", "QX-40418"
@@ -132,6 +132,9 @@ def test_batch_without_usable_orders(spark, database, tmp_path):
     out = run_pipeline(spark, files, database, as_of=DAY)
     assert _summary(spark, database) == set()
     assert all(report.collect() == [] for report in out.values())
+    counts = {r.step: r.row_count for r in spark.table(f"{database}.{COUNTS.name}").collect()}
+    assert (counts["orders_read"], counts["orders_kept"]) == (1, 0)
+    assert counts["transactions_joined"] == 0
 
 
 def test_refresh_again_changes_nothing(spark, database, tmp_path):
