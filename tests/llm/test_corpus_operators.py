@@ -290,7 +290,7 @@ def test_texts_of_pages(spark):
     assert html_extract.extract(frame.limit(0)).count() == 0
 
 
-# Written apart from the generator of training pages, whose names and words are others.
+# Written by hand; training layouts were widened after the faults these had shown.
 _ONE = "The council met on Monday to discuss the budget for the coming year."
 _TWO = "Members agreed, after a long debate, that roads should cost more. A vote follows in May."
 _BOTH, _LINES = f"<p>{_ONE}</p><p>{_TWO}</p>", f"{_ONE}\n{_TWO}"
