@@ -175,3 +175,49 @@ def test_an_append_that_fails_half_way_can_be_repeated(spark, bucketed):
             catalog.append(bad, "products", bucketed, "x")
         catalog.append(good, "products", bucketed, "x")
         assert catalog.table(spark, "products", bucketed).count() == 100
+
+
+def _wide(spark, rows, value):
+    return spark.range(rows).selectExpr(
+        "cast(2010 + id % 3 AS int) AS year", "'c' AS product_category",
+        "'s' AS product_sub_category", "concat('n', id) AS customer_name",
+        f"cast({value} AS decimal(20,2)) AS total_profit",
+    )
+
+
+def _largest(rows, part) -> int:
+    return rows.groupBy(part).count().agg(F.max("count")).first()[0]
+
+
+def test_buckets_that_have_outgrown_a_task_are_cut(spark, bucketed, tmp_path, monkeypatch):
+    """Neither side of the merge, nor the copy, puts a whole bucket into one task."""
+    monkeypatch.setattr(catalog, "BUCKET_ROWS", 100)
+    catalog.append(_wide(spark, 3000, 1), "sales_summary", bucketed)
+    largest, tag = [], catalog.tag_merge_bucketed
+
+    def tagged(*args, **options):
+        merged = tag(*args, **options)
+        largest.append(_largest(merged, F.spark_partition_id()))
+        return merged
+
+    monkeypatch.setattr(catalog, "tag_merge_bucketed", tagged)
+    source = _wide(spark, 4000, "if(id % 2 = 0, 1, 2)")
+    assert _merge(source, bucketed, null_safe=True) == {"updated": 1500, "inserted": 1000}
+    assert max(largest) <= 100  # of 4,000 rows in 3 buckets
+    files = spark.read.parquet(str(tmp_path / "db" / "sales_summary"))
+    # about 444 of a bucket's rows lie in a year
+    assert _largest(files, F.col("_metadata.file_name")) <= 300
+    rows = catalog.table(spark, "sales_summary", bucketed)
+    assert rows.count() == 4000 == rows.select(*SUMMARY_KEYS).distinct().count()
+    assert rows.agg(F.sum("total_profit")).first()[0] == 6000
+    # the table is still read by its buckets
+    monkeypatch.setattr(catalog, "BUCKET_ROWS", 100_000)
+    assert _merge(source, bucketed, null_safe=True) == {"updated": 0, "inserted": 0}
+    more = _wide(spark, 4001, 2)
+    assert _merge(more, bucketed, null_safe=True) == {"updated": 2000, "inserted": 1}
+    assert catalog.table(spark, "sales_summary", bucketed).count() == 4001
+
+
+def test_buckets_grow_with_the_rows():
+    assert catalog.buckets_for(0, 8) == catalog.buckets_for(4_000_000, 8) == 8
+    assert catalog.buckets_for(200_000_000, 8) == 400
