@@ -43,7 +43,7 @@ def tables(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["json_scan"])
+@pytest.mark.parametrize("name", ["json_scan", "json_broken_records"])
 def test_lines_are_written_compressed_in_bounded_files(
     spark, tables, tmp_path, monkeypatch, name
 ):
