@@ -6,6 +6,7 @@ import gzip
 
 import pytest
 
+from saleslake.plans import catalog
 from saleslake.queries import registry
 
 LINES = 200
@@ -59,3 +60,17 @@ def test_lines_are_written_compressed_in_bounded_files(
     assert sum(lines) == LINES and max(lines) <= 64
     text = sum(len(gzip.decompress(path.read_bytes())) for path in files)
     assert sum(path.stat().st_size for path in files) < text / 3
+
+
+@pytest.mark.parametrize("name", ["merge_table", "report_pack"])
+def test_a_summary_has_buckets_for_its_rows(spark, tables, monkeypatch, name):
+    monkeypatch.setattr(catalog, "BUCKET_ROWS", 10, raising=False)
+    made, database = [], registry._database
+
+    def noted(*args):
+        made.append(database(*args))
+        return made[-1]
+
+    monkeypatch.setattr(registry, "_database", noted)
+    assert getattr(registry, name)(spark, tables).count()
+    assert catalog._bucket_count(spark, "sales_summary", made[0]) >= LINES // 10
