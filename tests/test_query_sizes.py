@@ -62,7 +62,7 @@ def test_lines_are_written_compressed_in_bounded_files(
     assert sum(path.stat().st_size for path in files) < text / 3
 
 
-@pytest.mark.parametrize("name", ["merge_table", "report_pack"])
+@pytest.mark.parametrize("name", ["merge_table", "report_pack", "full_run"])
 def test_a_summary_has_buckets_for_its_rows(spark, tables, monkeypatch, name):
     monkeypatch.setattr(catalog, "BUCKET_ROWS", 10, raising=False)
     made, database = [], registry._database
