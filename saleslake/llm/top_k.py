@@ -11,7 +11,8 @@ first half of the components, and a tail whose size the vectors' lengths bound.
    the cutoff are sent, and the k best of all blocks are taken, ties to the smaller id.
 
 Blocks of rows meet blocks of queries by an equal part number; the query blocks are copied
-to every part. Neither side is collected, and a task holds a block of each at a time.
+to every part. Neither side is collected: Spark takes the copies for as small as one of them,
+so the join is told to shuffle, or all copies would be broadcast through the driver.
 """
 
 from __future__ import annotations
@@ -83,7 +84,9 @@ def _whole_scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def _meet(batch: pa.RecordBatch, k: int, first: bool) -> Iterator[pa.RecordBatch]:
     """Entries (query, id, score) of pairs of blocks: local lists, or what reaches the cutoffs."""
-    for row in batch.to_pylist():
+    for place in range(batch.num_rows):
+        # a batch holds many pairs of blocks, which are not all wanted as Python's own at once
+        row = batch.slice(place, 1).to_pylist()[0]
         width = row["width"]
         half = width // 2
         ids, asked = (np.frombuffer(row[c], np.int64) for c in ("ids", "asked"))
@@ -132,7 +135,7 @@ def _entries(rows: DataFrame, queries: DataFrame, parts: int, k: int, first: boo
     )
     placed = rows.select("width", "ids", "matrix", F.pmod(F.xxhash64("block"), F.lit(parts))
                          .cast("int").alias("part"))
-    met = placed.join(asked, ["part", "width"])
+    met = placed.join(asked.hint("merge"), ["part", "width"])
     return map_batches(met, partial(_meet, k=k, first=first), _ENTRY)
 
 

@@ -21,6 +21,7 @@ from check_oracle import compare, duck
 from saleslake.llm import html_extract, ngram_join, packing, shingles, top_k, warc
 from saleslake.llm.html_pages import labelled_pages
 from saleslake.llm.html_tree import parse
+from saleslake.plans.staging import stored
 
 SF_DIR = "/root/testdata/sf0.001"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -186,6 +187,18 @@ def test_top_k_of_few_odd_and_no_rows(spark):
     assert top_k.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_sends_no_copies_of_the_queries_through_the_driver(spark):
+    whole = spark.range(200).coalesce(1).selectExpr(
+        "id", "array(cast(id AS double)) AS vector", "cast('-Infinity' AS double) AS cutoff"
+    )
+    blocks = stored(top_k.map_batches(whole, top_k._pack, top_k._BLOCK), "blocks")
+    for first in (True, False):
+        met = top_k._entries(blocks, blocks, 4, 5, first)
+        assert met.count() == 200 * (5 if first else 199)
+        plan = met._jdf.queryExecution().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 # --- archives ------------------------------------------------------------------------------
 
 
