@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import gzip
+from pathlib import Path
 
 import pytest
 
-from saleslake.plans import catalog
-from saleslake.queries import registry
+from saleslake.operators.enrich import enrich, unmatched
+from saleslake.plans import catalog, pipeline, staging
+from saleslake.queries import inputs, registry
 
 LINES = 200
 
@@ -74,3 +77,68 @@ def test_a_summary_has_buckets_for_its_rows(spark, tables, monkeypatch, name):
     monkeypatch.setattr(registry, "_database", noted)
     assert getattr(registry, name)(spark, tables).count()
     assert catalog._bucket_count(spark, "sales_summary", made[0]) >= LINES // 10
+
+
+def test_a_run_writes_between_its_joins_and_drops_what_is_read(spark, tables, monkeypatch):
+    joins, held, staged = {}, {}, staging.staged
+
+    def folders():
+        return set(Path(staging.shared_folder(spark), staging.STAGING).glob("*"))
+
+    before = folders()
+
+    def noted(df, purpose, *args):
+        held[purpose] = {path.name.rsplit("-", 1)[0] for path in folders() - before}
+        joins[purpose] = df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+        return staged(df, purpose, *args)
+
+    monkeypatch.setattr(pipeline, "staged", noted)
+    assert registry.full_run(spark, tables).count()
+    assert joins["flagged-orders"] == joins["joined"] == 1
+    judged = {"judged-customers", "judged-products", "judged-orders"}
+    assert held["named-orders"] >= judged and not held["joined"] & judged
+    assert not held["contributions"]
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark, tmp_path, database, monkeypatch):
+    seen, into = [], catalog._into_batch
+
+    def noted(rows, *args):
+        seen.append(rows.sparkSession.conf.get(CLEANUP))
+        into(rows, *args)
+
+    monkeypatch.setattr(catalog, "_into_batch", noted)
+    before = spark.conf.get(CLEANUP, None)
+    rows = spark.range(3).selectExpr("cast(id AS string) AS customer_id")
+    catalog.append(rows, "customers", database, "b")
+    assert seen == ["true"] and spark.conf.get(CLEANUP, None) == before
+    files = catalog.table(spark, "customers", database).inputFiles()
+    assert files and all(".zstd." in name for name in files)
+    with staging.staged(rows, "rows") as held:
+        assert all(".zstd." in name for name in held.inputFiles())
+
+
+def test_rows_written_between_the_joins_change_nothing(spark, tables):
+    orders = inputs.orders(spark, tables).unionByName(
+        inputs.orders(spark, tables).limit(3).selectExpr(
+            "* EXCEPT (customer_id, product_id)", "-1L AS customer_id", "NULL AS product_id"
+        )
+    )
+    known = inputs.customers(spark, tables).filter("customer_id % 7 > 0")
+    sides = orders, known.unionByName(known.limit(5)), inputs.products(spark, tables)
+    calls = []
+
+    def between(rows):
+        calls.append(rows)
+        return staging.stored(rows, "between")
+
+    day = dt.date(2020, 1, 1)
+    for run in (unmatched, lambda *args, **more: enrich(*args, as_of=day, **more)):
+        rows = run(*sides)
+        assert rows.exceptAll(run(*sides, between=between)).isEmpty()
+        assert run(*sides, between=between).exceptAll(rows).isEmpty()
+        assert not rows.isEmpty()
+    assert len(calls) == 4
